@@ -93,6 +93,19 @@ def describe_schema(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Dat
     return spark.createDataFrame(rows, kind)
 
 
+def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Columns with their type and the rows that hold a value, one pass per table."""
+    out = None
+    for name, df in tables.items():
+        counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+        kinds = F.create_map(*[F.lit(x) for c, k in df.dtypes for x in (c, k)])
+        one = counts.unpivot([], df.columns, "column_name", "non_null_count").select(
+            F.lit(name).alias("table_name"), "column_name", kinds[F.col("column_name")].alias("data_type"), "non_null_count"
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def columns_present(spark: SparkSession, tables: Mapping[str, DataFrame], expected: Mapping[str, Sequence[str]]):
     """Which of the expected columns each table has."""
     rows = [(t, c, t in tables and c in tables[t].columns) for t, cols in expected.items() for c in cols]

@@ -17,7 +17,8 @@ def with_views(sql: str) -> str:
     wanted: set[str] = set()
     queue = [sql]
     while queue:
-        for word in set(re.findall(r"\b[a-z_0-9]+\b", queue.pop())):
+        text = re.sub(r"'[^']*'", "", queue.pop())
+        for word in set(re.findall(r"\b[a-z_0-9]+\b", text)):
             if word in VIEWS and word not in wanted:
                 wanted.add(word)
                 queue.append(VIEWS[word])
@@ -71,7 +72,7 @@ FROM (
 view(
     "raw_customers",
     """
-SELECT * REPLACE (CASE WHEN x = 2 THEN tags ELSE 'OLD' END AS tags) EXCLUDE (x),
+SELECT * EXCLUDE (x) REPLACE (CASE WHEN x = 2 THEN tags ELSE 'OLD' END AS tags),
   CASE WHEN x = 2 THEN TIMESTAMP '2001-08-01' ELSE TIMESTAMP '2001-07-01' END AS extracted_at,
   CASE WHEN x = 2 THEN TIMESTAMP '2001-07-31' ELSE TIMESTAMP '2001-06-30' END AS updated_at
 FROM customer_base JOIN (VALUES (1), (2)) v(x) ON x = 2 OR tags = 'BUILDING'
