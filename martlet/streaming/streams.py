@@ -19,11 +19,14 @@ from martlet.operators.monitor import sync_status
 
 
 def read_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
-    """Files of one table as a stream; `max_files` bounds a micro-batch when a backlog is large."""
+    """Files of one table as a stream; `max_files` bounds a micro-batch when a backlog is large.
+
+    The trailing star lets a table be a folder of files or a single file.
+    """
     reader = spark.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return reader.parquet(f"{path}*")
 
 
 def _drain(writer: DataStreamWriter, checkpoint: str) -> None:
@@ -53,6 +56,11 @@ def _log_batches(
     return stream.sparkSession.read.parquet(f"{folder}/data")
 
 
+def _event_time(c: str) -> Column:
+    """Watermarks need a zoned timestamp; extracts carry zone-free ones, read here in the session's zone."""
+    return F.col(c).cast("timestamp")
+
+
 # ------------------------------------------------------------------------------ jobs
 def hash_on_arrival(orders: DataFrame, clear: Sequence[str] = ("email", "contact_email")) -> DataFrame:
     """Hash and nullify as rows arrive; no clear text reaches the sink."""
@@ -62,7 +70,8 @@ def hash_on_arrival(orders: DataFrame, clear: Sequence[str] = ("email", "contact
 
 def first_wins(stream: DataFrame, keys: Sequence[str], ts: str, delay: str = "28 days") -> DataFrame:
     """Drop repeats that arrive within the look-back; state is kept no longer than that."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    timed = stream.withColumn("_event_time", _event_time(ts)).withWatermark("_event_time", delay)
+    return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
 
 
 def latest_wins(
@@ -91,16 +100,16 @@ def running_totals(aggregated: DataFrame, folder: str, keys: Sequence[str]) -> D
 
 def hourly_ads(reports: DataFrame, delay: str = "7 days") -> DataFrame:
     """Spend, impressions and clicks per hour, open to reports up to `delay` late."""
-    hour = F.window("stat_time_day", "1 hour")
     return (
-        reports.withWatermark("stat_time_day", delay)
-        .groupBy(hour.alias("w"))
+        reports.withColumn("_event_time", _event_time("stat_time_day"))
+        .withWatermark("_event_time", delay)
+        .groupBy(F.window("_event_time", "1 hour").alias("w"))
         .agg(
             F.sum(json_decimal("metrics", "$.spend")).alias("spend"),
             F.sum(json_long("metrics", "$.impressions")).alias("impressions"),
             F.sum(json_long("metrics", "$.clicks")).alias("clicks"),
         )
-        .select(F.col("w.start").alias("hour"), "spend", "impressions", "clicks")
+        .select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "spend", "impressions", "clicks")
     )
 
 
@@ -111,10 +120,11 @@ def event_funnel(events: DataFrame, width: str = "1 hour", delay: str = "1 day")
     """Funnel steps per tumbling window; users are an estimate, their exact set would grow without bound."""
     return (
         events.filter(F.col("event_name").isin(*FUNNEL))
-        .withWatermark("ts", delay)
-        .groupBy(F.window("ts", width).alias("w"), "event_name")
+        .withColumn("_event_time", _event_time("ts"))
+        .withWatermark("_event_time", delay)
+        .groupBy(F.window("_event_time", width).alias("w"), "event_name")
         .agg(F.count("*").alias("event_count"), F.approx_count_distinct("user_pseudo_id").alias("approx_users"))
-        .select(F.col("w.start").alias("window_start"), "event_name", "event_count", "approx_users")
+        .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "event_name", "event_count", "approx_users")
     )
 
 

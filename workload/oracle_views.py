@@ -25,7 +25,10 @@ def with_views(sql: str) -> str:
     if not wanted:
         return sql.strip()
     listed = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in VIEWS if n in wanted)
-    return f"WITH {listed}\n{sql.strip()}"
+    body = sql.strip()
+    if body.upper().startswith("WITH "):
+        body = f"SELECT * FROM ({body})"
+    return f"WITH {listed}\n{body}"
 
 
 def hashed(col: str) -> str:
