@@ -282,7 +282,7 @@ def campaign_daily(facebook: DataFrame, since) -> DataFrame:
         .agg(
             _s("fb_spend").alias("spend"),
             _s("fb_clicks").alias("clicks"),
-            F.round(F.avg("fb_ctr_percent"), 6).alias("avg_ctr"),
+            F.round(F.avg("fb_ctr_percent"), 10).alias("avg_ctr"),
         )
     )
 
@@ -294,8 +294,8 @@ def platform_daily(tiktok: DataFrame, as_of, days: int = 30) -> DataFrame:
         .agg(
             _s("tt_spend").alias("spend"),
             _s("tt_conversions").alias("conversions"),
-            F.round(F.avg("tt_cpa"), 6).alias("avg_cpa"),
-            F.round(F.avg("tt_conversion_rate"), 6).alias("avg_conversion_rate"),
+            F.round(F.avg("tt_cpa"), 10).alias("avg_cpa"),
+            F.round(F.avg("tt_conversion_rate"), 10).alias("avg_conversion_rate"),
         )
     )
 
@@ -308,7 +308,7 @@ def campaign_roas(google: DataFrame, as_of, days: int = 30) -> DataFrame:
         .agg(
             (_s("metrics_cost_micros").cast("double") / 1000000).alias("spend"),
             _s("ga_conversions").alias("conversions"),
-            F.round(F.avg("ga_roas"), 6).alias("roas"),
+            F.round(F.avg("ga_roas"), 10).alias("roas"),
         )
     )
 

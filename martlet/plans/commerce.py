@@ -127,7 +127,7 @@ def product_performance(shop: DataFrame) -> DataFrame:
         F.sum("units").alias("total_units"),
         F.sum("gross").alias("gross_revenue"),
         F.sum("net").alias("net_revenue"),
-        F.round(F.avg("price"), 6).alias("avg_price"),
+        F.round(F.avg("price"), 10).alias("avg_price"),
         divide(F.sum("net"), F.sum("units")).alias("revenue_per_unit"),
     )
 

@@ -43,7 +43,7 @@ def monthly_performance(marketing: DataFrame) -> DataFrame:
             _sum("unique_customers").alias("total_customers"),
             _sum("ad_impressions").alias("total_impressions"),
             _sum("ad_clicks").alias("total_clicks"),
-            F.round(F.avg("ctr_percent"), 6).alias("avg_ctr"),
+            F.round(F.avg("ctr_percent"), 10).alias("avg_ctr"),
             divide(revenue, spend).alias("roas"),
             divide(spend, orders).alias("cpa"),
             divide(revenue, orders).alias("aov"),
@@ -63,7 +63,7 @@ def monthly_totals(marketing: DataFrame) -> DataFrame:
         spend.alias("marketing_spend"),
         orders.alias("orders"),
         _sum("unique_customers").alias("customers"),
-        F.round(F.avg("avg_order_value"), 6).alias("aov"),
+        F.round(F.avg("avg_order_value"), 10).alias("aov"),
         divide(revenue, spend).alias("roas"),
         divide(spend, orders).alias("cpa"),
         (net - spend).alias("pre_marketing_contribution"),
@@ -145,9 +145,9 @@ def sitewide_kpi_yoy(daily_metrics: DataFrame, as_of) -> DataFrame:
     metrics = {
         "Orders": _sum("orders"),
         "Net Revenue": _sum("net_revenue"),
-        "AOV": F.round(F.avg("aov"), 6),
+        "AOV": F.round(F.avg("aov"), 10),
         "Unique Customers": _sum("unique_customers"),
-        "Returning %": F.round(F.avg("returning_customer_pct"), 6),
+        "Returning %": F.round(F.avg("returning_customer_pct"), 10),
     }
     return kpi_yoy(daily_metrics, as_of, metrics, with_last_year=False)
 
@@ -177,7 +177,7 @@ def paid_channel_performance(marketing: DataFrame, as_of, channels=PAID) -> Data
             spend.alias("spend"),
             revenue.alias("revenue"),
             orders.alias("orders"),
-            F.round(F.avg("avg_order_value"), 6).alias("aov"),
+            F.round(F.avg("avg_order_value"), 10).alias("aov"),
             divide(spend, orders).alias("cpa"),
             divide(revenue, spend).alias("roas"),
         )

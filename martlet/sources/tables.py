@@ -106,10 +106,16 @@ def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def columns_present(spark: SparkSession, tables: Mapping[str, DataFrame], expected: Mapping[str, Sequence[str]]):
-    """Which of the expected columns each table has."""
-    rows = [(t, c, t in tables and c in tables[t].columns) for t, cols in expected.items() for c in cols]
-    return spark.createDataFrame(rows, "table_name string, column_name string, present boolean")
+def columns_present(tables: Mapping[str, DataFrame], expected: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Which of the expected columns each table has, and how many rows hold a value in them."""
+    spark = next(iter(tables.values())).sparkSession
+    wanted = [(t, c) for t, cols in expected.items() for c in cols]
+    found = column_profile({t: df.select(*[c for c in expected[t] if c in df.columns]) for t, df in tables.items()})
+    return (
+        spark.createDataFrame(wanted, "table_name string, column_name string")
+        .join(found, ["table_name", "column_name"], "left")
+        .select("table_name", "column_name", F.col("data_type").isNotNull().alias("present"), "non_null_count")
+    )
 
 
 def preview(df: DataFrame, n: int = 100, order: Sequence[Column | str] = ()) -> DataFrame:

@@ -583,7 +583,7 @@ SELECT date_trunc('month', date)::DATE AS month, channel, sum(ad_spend)::DOUBLE
   sum(net_revenue)::DOUBLE AS total_net_revenue, sum(revenue)::DOUBLE / count(*) AS avg_daily_revenue,
   sum(orders)::BIGINT AS total_orders, sum(orders)::DOUBLE / count(*) AS avg_daily_orders,
   sum(unique_customers)::BIGINT AS total_customers, sum(ad_impressions)::BIGINT AS total_impressions,
-  sum(ad_clicks)::BIGINT AS total_clicks, round(avg(ctr_percent), 6) AS avg_ctr,
+  sum(ad_clicks)::BIGINT AS total_clicks, round(avg(ctr_percent), 10) AS avg_ctr,
   sum(revenue)::DOUBLE / nullif(sum(ad_spend)::DOUBLE, 0) AS roas, sum(ad_spend)::DOUBLE / nullif(sum(orders), 0) AS cpa,
   sum(revenue)::DOUBLE / nullif(sum(orders), 0) AS aov,
   sum(net_revenue)::DOUBLE / nullif(sum(ad_spend)::DOUBLE, 0) AS mer,
@@ -598,7 +598,7 @@ view(
     """
 SELECT date_trunc('month', order_date)::DATE AS month, product_titles AS product_name,
   sum(orders)::BIGINT AS total_orders, sum(units)::BIGINT AS total_units, sum(gross)::DOUBLE AS gross_revenue,
-  sum(net)::DOUBLE AS net_revenue, round(avg(price), 6) AS avg_price, sum(net)::DOUBLE / nullif(sum(units), 0)
+  sum(net)::DOUBLE AS net_revenue, round(avg(price), 10) AS avg_price, sum(net)::DOUBLE / nullif(sum(units), 0)
     AS revenue_per_unit
 FROM (SELECT product_titles, order_date, count(DISTINCT order_id) AS orders, sum(total_quantity) AS units,
         sum(items_total_original) AS gross, sum(items_total_original - coalesce(order_discounts, 0)) AS net,
@@ -612,7 +612,7 @@ view(
     """
 SELECT date_trunc('month', date)::DATE AS month, sum(revenue)::DOUBLE AS gross_revenue,
   sum(net_revenue)::DOUBLE AS net_revenue, sum(ad_spend)::DOUBLE AS marketing_spend, sum(orders)::BIGINT AS orders,
-  sum(unique_customers)::BIGINT AS customers, round(avg(avg_order_value), 6) AS aov,
+  sum(unique_customers)::BIGINT AS customers, round(avg(avg_order_value), 10) AS aov,
   sum(revenue)::DOUBLE / nullif(sum(ad_spend)::DOUBLE, 0) AS roas, sum(ad_spend)::DOUBLE / nullif(sum(orders), 0) AS cpa,
   (sum(net_revenue) - sum(ad_spend))::DOUBLE AS pre_marketing_contribution,
   sum(ad_spend)::DOUBLE / nullif(sum(net_revenue)::DOUBLE, 0) * 100 AS marketing_pct

@@ -6,8 +6,9 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from martlet.functions import as_timestamp
+from martlet.functions import as_timestamp, digits
 from martlet.operators import checks, conform, monitor, quality, reconcile, unify
+from martlet.sources import tables
 from martlet.streaming import streams
 from workload.inputs import AS_OF, BASELINE_AS_OF, EVENTS_AS_OF
 from workload.registry import fresh_folder, query
@@ -140,6 +141,27 @@ FROM (SELECT (median(total_price) > 1000)::BIGINT + (count(email_hash) < count(*
 """,
 )
 
+
+
+def exported_actions(x):
+    folder = fresh_folder(x.spark, "results")
+    tables.export_results(all_checks(x), folder)
+    return x.spark.read.json(f"{folder}/action_items.json").select("check_name", "table_name", "status")
+
+
+query(
+    "export_results",
+    exported_actions,
+    f"""
+SELECT check_name, table_name, status FROM (
+  SELECT 'Price Format' AS check_name, 'shopify' AS table_name, if(median(total_price) > 1000, 'CRITICAL', 'PASS') AS status
+  FROM clean_orders WHERE created_at::DATE {IN_RANGE}
+  UNION ALL SELECT 'Null Rate', 'shopify', CASE WHEN count(email_hash) < count(*) * 0.8 THEN 'CRITICAL'
+    WHEN count(email_hash) < count(*) * 0.95 THEN 'WARNING' ELSE 'PASS' END
+  FROM clean_orders WHERE created_at::DATE {IN_RANGE})
+WHERE status <> 'PASS'
+""",
+)
 # ---------------------------------------------------------------------- audit variants
 DISTINCT = """
 SELECT 'Duplicates' AS check_name, '{t}' AS table_name, total, distinct_keys, total - distinct_keys AS duplicates,
@@ -401,6 +423,22 @@ SELECT date, channel, ad_impressions, ad_spend::DOUBLE AS ad_spend FROM marketin
 WHERE date >= {DAY} - 1 AND ad_impressions = 0
 """,
 )
+query(
+    "idle_rows",
+    lambda x: checks.union(
+        df.agg(F.lit(kind).alias("kind"), F.count("*").alias("rows"))
+        for kind, df in (
+            ("idle day", quality.idle_days(fully_refunded(x))),
+            ("paused campaign", quality.paused_campaigns(dark_devices(x))),
+            ("not synced yet", quality.not_synced_yet(x.marketing, AS_OF)),
+        )
+    ),
+    f"""
+SELECT 'idle day' AS kind, count(*) AS rows FROM marketing WHERE revenue = 0 AND ad_spend < 100000
+UNION ALL SELECT 'paused campaign', count(*) FROM google WHERE ga_device = 'TABLET' AND ga_campaign_status = 'PAUSED'
+UNION ALL SELECT 'not synced yet', count(*) FROM marketing WHERE date >= {DAY} - 1 AND ad_impressions = 0
+""",
+)
 
 
 def capped_budgets(x):
@@ -459,11 +497,19 @@ SELECT count(*) AS total_rows, count(DISTINCT currency) AS currencies,
   if(count(*) FILTER (id = 0) > 0, 'WARNING', 'PASS') AS status FROM clean_orders
 """,
 )
+
+
+def order_ids(x):
+    return x.utm.select(digits("order_id").alias("order_id_numeric"), "total_price")
+
+
+def campaign_names(x):
+    return x.facebook.select(F.concat(F.lit("c"), "fb_campaign_id").alias("c"))
+
+
 query(
     "order_totals_agree",
-    lambda x: quality.order_totals_agree(
-        conform.orders_base(x.clean_orders), x.utm.select(F.split_part("order_id", F.lit("/"), F.lit(5)).cast("bigint").alias("order_id_numeric"), "total_price")
-    ),
+    lambda x: quality.order_totals_agree(conform.orders_base(x.clean_orders), order_ids(x)),
     """
 SELECT count(*) AS orders, 0 AS only_in_orders, 0 AS only_in_attribution,
   count(*) FILTER (o.total_price <> u.total_price) AS different_totals
@@ -472,7 +518,7 @@ FROM clean_orders o JOIN utm u ON u.numeric_id = o.id
 )
 query(
     "unmatched_campaigns",
-    lambda x: quality.unmatched_campaigns(x.utm, x.facebook.select(F.concat(F.lit("c"), "fb_campaign_id").alias("c")), "c"),
+    lambda x: quality.unmatched_campaigns(x.utm, campaign_names(x), "c"),
     """
 SELECT first_utm_campaign AS campaign, count(*) AS orders FROM utm
 WHERE first_utm_campaign NOT IN ('c0', 'c1', 'c2', 'c3', 'c4') GROUP BY 1
@@ -480,6 +526,25 @@ WHERE first_utm_campaign NOT IN ('c0', 'c1', 'c2', 'c3', 'c4') GROUP BY 1
 )
 
 
+def cross_platform(x):
+    """Order totals that differ between two tables, and tracked campaigns no ad table knows."""
+    totals = quality.order_totals_agree(conform.orders_base(x.clean_orders), order_ids(x))
+    names = quality.unmatched_campaigns(x.utm, campaign_names(x), "c")
+    return totals.select("different_totals").withColumn("unmatched_campaigns", names.agg(F.count("*")).scalar())
+
+
+query(
+    "cross_platform_consistency",
+    cross_platform,
+    """
+SELECT count(*) FILTER (o.total_price <> u.total_price) AS different_totals,
+  count(DISTINCT first_utm_campaign) FILTER (first_utm_campaign NOT IN ('c0', 'c1', 'c2', 'c3', 'c4'))
+    AS unmatched_campaigns
+FROM clean_orders o JOIN utm u ON u.numeric_id = o.id
+""",
+)
+
+
 def workflow_kpis(x):
     """The four figures the workflow is judged by, measured on the tables."""
     fresh = quality.check_freshness(x.web_events, "ts", EVENTS_AS_OF, "e").select(

@@ -46,9 +46,9 @@ query(
 SITE = {
     "Orders": "sum(orders)",
     "Net Revenue": "sum(net_revenue)",
-    "AOV": "round(avg(aov), 6)",
+    "AOV": "round(avg(aov), 10)",
     "Unique Customers": "sum(unique_customers)",
-    "Returning %": "round(avg(returning_customer_pct), 6)",
+    "Returning %": "round(avg(returning_customer_pct), 10)",
 }
 query(
     "sitewide_kpi_yoy",
@@ -86,7 +86,7 @@ query(
     lambda x: marketing.paid_channel_performance(x.marketing, AS_OF),
     f"""
 SELECT channel, sum(ad_spend)::DOUBLE AS spend, sum(revenue)::DOUBLE AS revenue, sum(orders)::BIGINT AS orders,
-  round(avg(avg_order_value), 6) AS aov, {div('sum(ad_spend)', 'sum(orders)')} AS cpa,
+  round(avg(avg_order_value), 10) AS aov, {div('sum(ad_spend)', 'sum(orders)')} AS cpa,
   {div('sum(revenue)', 'sum(ad_spend)')} AS roas
 FROM marketing WHERE date >= {DAY} - INTERVAL 1 MONTH AND channel IN ('facebook', 'google', 'tiktok') GROUP BY 1
 """,
@@ -326,15 +326,15 @@ query(
     lambda x: ads.campaign_daily(x.facebook, "2000-01-01"),
     """
 SELECT date, fb_campaign_name, sum(fb_spend)::DOUBLE AS spend, sum(fb_clicks)::BIGINT AS clicks,
-  round(avg(fb_ctr_percent), 6) AS avg_ctr FROM facebook WHERE date >= DATE '2000-01-01' GROUP BY 1, 2
+  round(avg(fb_ctr_percent), 10) AS avg_ctr FROM facebook WHERE date >= DATE '2000-01-01' GROUP BY 1, 2
 """,
 )
 query(
     "platform_daily",
     lambda x: ads.platform_daily(x.tiktok, AS_OF),
     f"""
-SELECT date, sum(tt_spend)::DOUBLE AS spend, sum(tt_conversions)::BIGINT AS conversions, round(avg(tt_cpa), 6) AS avg_cpa,
-  round(avg(tt_conversion_rate), 6) AS avg_conversion_rate FROM tiktok WHERE date >= {DAY} - 30 GROUP BY 1
+SELECT date, sum(tt_spend)::DOUBLE AS spend, sum(tt_conversions)::BIGINT AS conversions, round(avg(tt_cpa), 10) AS avg_cpa,
+  round(avg(tt_conversion_rate), 10) AS avg_conversion_rate FROM tiktok WHERE date >= {DAY} - 30 GROUP BY 1
 """,
 )
 query(
@@ -342,7 +342,7 @@ query(
     lambda x: ads.campaign_roas(x.google, AS_OF),
     f"""
 SELECT ga_campaign_name, sum(metrics_cost_micros)::DOUBLE / 1000000 AS spend, sum(ga_conversions)::BIGINT AS conversions,
-  round(avg(ga_roas), 6) AS roas FROM google WHERE date >= {DAY} - 30 AND ga_campaign_status = 'ENABLED' GROUP BY 1
+  round(avg(ga_roas), 10) AS roas FROM google WHERE date >= {DAY} - 30 AND ga_campaign_status = 'ENABLED' GROUP BY 1
 """,
 )
 query(
@@ -602,6 +602,25 @@ SELECT 'marketing_unified' AS table_name, count(*) AS row_count, sum(revenue)::D
   sum(ad_spend)::DOUBLE AS total_spend, sum(revenue)::DOUBLE / sum(ad_spend)::DOUBLE AS overall_roas FROM marketing
 """,
 )
+query(
+    "unified_verify",
+    lambda x: marketing.view_row_counts(
+        {
+            "shopify_unified": x.shop,
+            "facebook_unified": x.facebook,
+            "tiktok_unified": x.tiktok,
+            "google_ads_unified": x.google,
+            "amazon_ads_unified": x.amazon,
+            "marketing_unified": x.marketing,
+        }
+    ),
+    """
+SELECT 'shopify_unified' AS view_name, count(*) AS row_count FROM shop
+UNION ALL SELECT 'facebook_unified', count(*) FROM facebook UNION ALL SELECT 'tiktok_unified', count(*) FROM tiktok
+UNION ALL SELECT 'google_ads_unified', count(*) FROM google UNION ALL SELECT 'amazon_ads_unified', count(*) FROM amazon
+UNION ALL SELECT 'marketing_unified', count(*) FROM marketing
+""",
+)
 query(
     "view_row_counts",
     lambda x: marketing.view_row_counts(

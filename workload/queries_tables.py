@@ -137,6 +137,18 @@ query(
     ),
     " UNION ALL ".join(PROFILE_SQL.format(t=t) for t in PROFILED),
 )
+EXPECTED = {"customer": ["c_custkey", "c_email", "c_mktsegment"], "orders": ["o_orderkey", "o_totalprice", "o_phone"]}
+query(
+    "columns_present",
+    lambda x: tables.columns_present({t: x.table(t) for t in EXPECTED}, EXPECTED),
+    """
+SELECT table_name, column_name, n > 0 AS present, nullif(n, 0) AS non_null_count FROM (
+  SELECT 'customer' AS table_name, unnest(['c_custkey', 'c_email', 'c_mktsegment']) AS column_name,
+    unnest([count(c_custkey), 0, count(c_mktsegment)]) AS n FROM customer
+  UNION ALL SELECT 'orders', unnest(['o_orderkey', 'o_totalprice', 'o_phone']),
+    unnest([count(o_orderkey), count(o_totalprice), 0]) FROM orders)
+""",
+)
 query(
     "preview",
     lambda x: tables.preview(
@@ -190,6 +202,7 @@ for _name, _fn, _dims in (
     ("dedup_ads_dma", dedup.ads_dma, "dma"),
     ("dedup_ads_platform_device", dedup.ads_platform_device, "publisher_platform, device_platform"),
     ("dedup_ads_country", lambda df: dedup.ads_breakdown(df, ["country"]), "country"),
+    ("dedup_ads_breakdown", lambda df: dedup.ads_breakdown(df, ["country", "dma"]), "country, dma"),
 ):
     query(
         _name,
