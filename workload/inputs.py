@@ -47,46 +47,71 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return tables.read_table(self.spark, self.sf_dir, name)
+        if name not in self._tables:
+            self._tables[name] = self._read(name)
+        return self._tables[name]
+
+    def _read(self, name: str) -> DataFrame:
+        df = tables.read_table(self.spark, self.sf_dir, name)
+        if name in ("lineitem", "orders", "events"):
+            df = tables.spread_small(df, f"{self.sf_dir}/{name}.parquet")
+        return df
 
     # ------------------------------------------------------------ shop extracts
-    @cached_property
-    def _customer_base(self) -> DataFrame:
-        nation = self.table("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-        c = self.table("customer").join(nation, "c_nationkey")
+    @staticmethod
+    def customer_columns() -> dict[str, Column]:
+        """Customer fields over the columns of customer and nation joined."""
         key = F.col("c_custkey")
         owner = F.when(key % 97 == 1, key - 1).otherwise(key)
         address = cat(
             '{"country":"', F.col("n_name"), '","city":"City', txt(key % 30), '","province":"P', txt(key % 12), '"}'
         )
-        return c.select(
-            key.alias("id"),
-            F.when(key % 10 == 7, None)
+        return {
+            "id": key,
+            "email": F.when(key % 10 == 7, None)
             .when(key % 10 == 8, "")
             .when(key % 3 == 0, cat("  CUST", txt(owner), "@Example.COM "))
-            .otherwise(cat("cust", txt(owner), "@example.com"))
-            .alias("email"),
-            F.when(key % 4 != 0, cat("+1555", F.lpad(txt(key), 7, "0"))).alias("phone"),
-            F.when(key % 9 != 0, cat("First", txt(key % 50))).alias("first_name"),
-            cat("Last", txt(key % 200)).alias("last_name"),
-            F.when(key % 5 != 2, cat("[", address, "]")).alias("addresses"),
-            F.when(key % 6 != 1, address).alias("default_address"),
-            F.when(key % 2 == 0, "enabled").otherwise("disabled").alias("state"),
-            F.col("c_mktsegment").alias("tags"),
-            (key % 4).alias("orders_count"),
-            F.when(key % 6 == 0, F.lit(0)).otherwise(F.col("c_acctbal")).cast("decimal(18,2)").alias("total_spent"),
-            (key % 5 != 0).alias("accepts_marketing"),
-            (key % 3 != 0).alias("verified_email"),
-            F.when(key % 3 == 0, '{"state":"subscribed","consent_updated_at":"2000-01-01"}').alias(
-                "email_marketing_consent"
+            .otherwise(cat("cust", txt(owner), "@example.com")),
+            "phone": F.when(key % 4 != 0, cat("+1555", F.lpad(txt(key), 7, "0"))),
+            "first_name": F.when(key % 9 != 0, cat("First", txt(key % 50))),
+            "last_name": cat("Last", txt(key % 200)),
+            "addresses": F.when(key % 5 != 2, cat("[", address, "]")),
+            "default_address": F.when(key % 6 != 1, address),
+            "state": F.when(key % 2 == 0, "enabled").otherwise("disabled"),
+            "tags": F.col("c_mktsegment"),
+            "orders_count": key % 4,
+            "total_spent": F.when(key % 6 == 0, F.lit(0)).otherwise(F.col("c_acctbal")).cast("decimal(18,2)"),
+            "accepts_marketing": key % 5 != 0,
+            "verified_email": key % 3 != 0,
+            "email_marketing_consent": F.when(
+                key % 3 == 0, '{"state":"subscribed","consent_updated_at":"2000-01-01"}'
             ),
-            F.when(key % 7 == 0, '{"state":"not_subscribed","consent_updated_at":"2000-02-02"}').alias(
-                "sms_marketing_consent"
+            "sms_marketing_consent": F.when(
+                key % 7 == 0, '{"state":"not_subscribed","consent_updated_at":"2000-02-02"}'
             ),
-            as_timestamp("1995-01-02 00:00:00").alias("created_at"),
-        )
+            "created_at": as_timestamp("1995-01-02 00:00:00"),
+        }
+
+    def with_nation(self, df: DataFrame, key: str) -> DataFrame:
+        return df.join(self.table("nation").select(F.col("n_nationkey").alias(key), "n_name"), key)
+
+    def with_customer(self, orders: DataFrame, *fields: str) -> DataFrame:
+        """Orders with customer fields beside them, named `c_<field>`.
+
+        One dimension joins at a time: Spark sizes a join of two dimensions as their
+        product, and would then pick the wrong side to send around.
+        """
+        j = self.with_nation(orders.join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey")), "c_nationkey")
+        columns = self.customer_columns()
+        return j.select(*orders.columns, *[columns[f].alias(f"c_{f}") for f in fields])
+
+    @cached_property
+    def _customer_base(self) -> DataFrame:
+        c = self.with_nation(self.table("customer"), "c_nationkey")
+        return c.select(*[col.alias(name) for name, col in self.customer_columns().items()])
 
     @cached_property
     def raw_customers(self) -> DataFrame:
@@ -104,21 +129,18 @@ class Inputs:
 
     @cached_property
     def raw_orders(self) -> DataFrame:
-        c = self._customer_base.select(
-            F.col("id").alias("o_custkey"),
-            F.col("email").alias("cemail"),
-            F.col("phone").alias("cphone"),
-            F.col("first_name").alias("cfirst"),
-            F.col("default_address").alias("addr"),
-        )
-        return self.shape_orders(self.table("orders").join(c, "o_custkey"))
+        return self.orders_from(self.table("orders"))
+
+    def orders_from(self, orders: DataFrame) -> DataFrame:
+        """Order extract over the orders table, batch or stream."""
+        return self.shape_orders(self.with_customer(orders, "email", "phone", "first_name", "default_address"))
 
     @staticmethod
     def shape_orders(o: DataFrame) -> DataFrame:
         key, price, day = F.col("o_orderkey"), money("o_totalprice"), F.col("o_orderdate")
         v = o.withColumn("extract_no", versions(F.col("o_orderpriority") == "1-URGENT"))
         latest = F.col("extract_no") == 2
-        email = F.when(key % 13 != 0, F.upper("cemail"))
+        email = F.when(key % 13 != 0, F.upper("c_email"))
         cancelled = key % 20 == 0
         return v.select(
             key.alias("id"),
@@ -129,17 +151,17 @@ class Inputs:
             .alias("name"),
             email.alias("email"),
             email.alias("contact_email"),
-            F.col("cphone").alias("phone"),
+            F.col("c_phone").alias("phone"),
             F.when(key % 8 == 0, None)
             .when(key % 8 == 1, "")
             .otherwise(cat("10.0.", txt(F.col("o_custkey") % 5), ".", txt(F.col("o_custkey") % 40)))
             .alias("browser_ip"),
-            F.when(key % 17 == 0, cat('{"email":"', F.col("cemail"), '","first_name":"', F.col("cfirst"), '"}')).alias(
+            F.when(key % 17 == 0, cat('{"email":"', F.col("c_email"), '","first_name":"', F.col("c_first_name"), '"}')).alias(
                 "customer"
             ),
             F.col("o_custkey").alias("user_id"),
-            F.col("addr").alias("billing_address"),
-            F.col("addr").alias("shipping_address"),
+            F.col("c_default_address").alias("billing_address"),
+            F.col("c_default_address").alias("shipping_address"),
             pick(key % 4, {0: "web", 1: "tiktok", 2: "shopify_draft_order"}).alias("source_name"),
             F.col("o_orderstatus").alias("financial_status"),
             F.when(F.col("o_orderstatus") == "F", "fulfilled").alias("fulfillment_status"),
@@ -169,31 +191,21 @@ class Inputs:
     @cached_property
     def order_history(self) -> DataFrame:
         """Orders as the shop's older bulk export gave them, with customer fields inline."""
-        c = self._customer_base.select(
-            F.col("id").alias("o_custkey"),
-            F.col("email").alias("customer_email"),
-            F.col("first_name").alias("customer_first_name"),
-            F.col("last_name").alias("customer_last_name"),
-            F.col("default_address").alias("addr"),
-        )
         key = F.col("o_orderkey")
-        return (
-            self.table("orders")
-            .join(c, "o_custkey")
-            .select(
-                key.alias("id"),
-                cat("#", txt(key)).alias("name"),
-                F.col("o_orderdate").alias("created_at"),
-                F.lit("USD").alias("currency_code"),
-                money("o_totalprice").alias("total_price"),
-                txt(F.col("o_custkey")).alias("customer_id"),
-                "customer_email",
-                "customer_first_name",
-                "customer_last_name",
-                F.get_json_object("addr", "$.country").alias("shipping_country"),
-                F.get_json_object("addr", "$.city").alias("shipping_city"),
-                F.lpad(txt(key % 1000), 5, "0").alias("shipping_zip"),
-            )
+        o = self.with_customer(self.table("orders"), "email", "first_name", "last_name", "default_address")
+        return o.select(
+            key.alias("id"),
+            cat("#", txt(key)).alias("name"),
+            F.col("o_orderdate").alias("created_at"),
+            F.lit("USD").alias("currency_code"),
+            money("o_totalprice").alias("total_price"),
+            txt(F.col("o_custkey")).alias("customer_id"),
+            F.col("c_email").alias("customer_email"),
+            F.col("c_first_name").alias("customer_first_name"),
+            F.col("c_last_name").alias("customer_last_name"),
+            F.get_json_object("c_default_address", "$.country").alias("shipping_country"),
+            F.get_json_object("c_default_address", "$.city").alias("shipping_city"),
+            F.lpad(txt(key % 1000), 5, "0").alias("shipping_zip"),
         )
 
     @cached_property
@@ -310,10 +322,8 @@ class Inputs:
     # -------------------------------------------------------------- ad extracts
     @cached_property
     def raw_ads(self) -> DataFrame:
-        nation = self.table("nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
-        supplier = self.table("supplier").join(nation, "s_nationkey").select(
-            F.col("s_suppkey").alias("l_suppkey"), "n_name"
-        )
+        supplier = self.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+        lines = self.with_nation(self.table("lineitem").join(supplier, "l_suppkey"), "s_nationkey")
         part, supp, line, qty = (
             F.col("l_partkey"),
             F.col("l_suppkey"),
@@ -325,9 +335,7 @@ class Inputs:
         )
         day = F.col("l_shipdate").cast("date")
         return (
-            self.table("lineitem")
-            .join(supplier, "l_suppkey")
-            .select(
+            lines.select(
                 txt(supp % 3).alias("account_id"),
                 cat("account ", txt(supp % 3)).alias("account_name"),
                 txt(part % 5).alias("campaign_id"),

@@ -870,14 +870,7 @@ def stream_of(x, table):
 
 
 def order_stream(x):
-    c = x._customer_base.select(
-        F.col("id").alias("o_custkey"),
-        F.col("email").alias("cemail"),
-        F.col("phone").alias("cphone"),
-        F.col("first_name").alias("cfirst"),
-        F.col("default_address").alias("addr"),
-    )
-    return x.shape_orders(stream_of(x, "orders").join(c, "o_custkey"))
+    return x.orders_from(stream_of(x, "orders"))
 
 
 query(

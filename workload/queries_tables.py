@@ -122,7 +122,7 @@ SELECT max(ts::DATE) FILTER (ts < TIMESTAMP '2024-01-29') AS latest_daily,
 )
 query(
     "table_stats",
-    lambda x: tables.table_stats({t: x.table(t) for t in GIVEN}).select("table_name", "row_count"),
+    lambda x: tables.table_stats({t: tables.read_table(x.spark, x.sf_dir, t) for t in GIVEN}).select("table_name", "row_count"),
     " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in GIVEN),
 )
 PROFILED = ("customer", "orders", "lineitem", "events")
