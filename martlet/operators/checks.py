@@ -1,4 +1,4 @@
-"""Shape shared by all checks: one row per finding, thresholds beside the observed value."""
+"""Helpers shared by all checks."""
 
 from __future__ import annotations
 
@@ -7,8 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-RESULT_COLUMNS = ("check_name", "table_name", "status", "observed", "warn", "crit", "message", "details")
-
 # Worst first.
 SEVERITY = {"CRITICAL": 1, "FAIL": 1, "WARNING": 2, "ERROR": 3, "PASS": 4, "SKIPPED": 5}
 
@@ -18,30 +16,6 @@ def above(value: Column, warn: float, crit: float, bad: str = "CRITICAL") -> Col
     return F.when(value > crit, bad).when(value > warn, "WARNING").otherwise("PASS")
 
 
-def result(
-    df: DataFrame,
-    check: str,
-    table: str | Column,
-    status: Column,
-    observed: Column,
-    message: Column,
-    details: dict[str, Column] | None = None,
-    warn: float | None = None,
-    crit: float | None = None,
-) -> DataFrame:
-    pairs = [x for k, v in (details or {}).items() for x in (F.lit(k), v.cast("string"))]
-    return df.select(
-        F.lit(check).alias("check_name"),
-        (F.lit(table) if isinstance(table, str) else table).alias("table_name"),
-        status.alias("status"),
-        observed.cast("double").alias("observed"),
-        F.lit(warn).cast("double").alias("warn"),
-        F.lit(crit).cast("double").alias("crit"),
-        message.alias("message"),
-        (F.create_map(*pairs) if pairs else F.lit(None)).cast("map<string,string>").alias("details"),
-    )
-
-
 def union(parts: Iterable[DataFrame]) -> DataFrame:
     out = None
     for p in parts:

@@ -301,8 +301,8 @@ def _lookup(df: DataFrame, ref: DataFrame, field: str, col: str, spread_by: str)
 
 def apply_references(orders: DataFrame, customers: DataFrame, refs: Mapping[str, DataFrame]) -> DataFrame:
     """Orders with consistent hashes in place of the first ones; what has no reference keeps its own."""
-    names = customers.select(F.col("id").alias("user_id"), "first_name_hash", "last_name_hash")
-    df = orders.join(names, "user_id", "left")
+    names = customers.select(F.col("id").alias("_customer"), "first_name_hash", "last_name_hash")
+    df = left_join_spread(orders, names, "user_id", "_customer", "id")
     columns = {
         "email": "email_hash",
         "phone": "phone_hash",

@@ -5,7 +5,7 @@ it looks at. All rows count: no check works on a sample."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,8 +27,7 @@ DAILY_ROWS = {"shopify_orders": (400, 1200), "facebook_ads": (100, 600), "tiktok
 
 
 def _label(df: DataFrame, check: str, table: str) -> DataFrame:
-    rest = [c for c in df.columns]
-    return df.select(F.lit(check).alias("check_name"), F.lit(table).alias("table_name"), *rest)
+    return df.select(F.lit(check).alias("check_name"), F.lit(table).alias("table_name"), "*")
 
 
 def to_results(flat: DataFrame, observed: str, warn: float | None = None, crit: float | None = None) -> DataFrame:
@@ -174,7 +173,6 @@ class Platform:
     critical_fields: Sequence[str]
     price: str | None = None
     enabled: bool = True
-    extra: Mapping[str, str] = field(default_factory=dict)
 
 
 def run_checks(platforms: Sequence[Platform], as_of, start=None, end=None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions import as_date, digits, divide, hash_pii, json_decimal, money, percent
@@ -15,13 +15,16 @@ def left_join_spread(left: DataFrame, right: DataFrame, left_key: str, right_key
 
     A NULL key never matches, yet all of them hash to the same partition, and guest
     orders may be a third of the table. They get a key of their own instead, one no
-    hash can equal, taken from a well-spread column. `right_key` is dropped from the output.
+    real key can equal, taken from a well-spread column. Keys are compared as text.
+    `right_key` is dropped from the output.
     """
     spread = F.concat(F.lit("null:"), F.col(spread_by).cast("string"))
-    key = F.when(F.col(left_key).isNull(), spread).otherwise(F.col(left_key))
-    right = right.filter(F.col(right_key).isNotNull()).withColumnRenamed(right_key, "_right_key")
-    return left.withColumn("_left_key", key).join(right, F.col("_left_key") == F.col("_right_key"), "left").drop(
-        "_left_key", "_right_key"
+    key = F.coalesce(F.col(left_key).cast("string"), spread)
+    right = right.filter(F.col(right_key).isNotNull()).withColumn("_right_key", F.col(right_key).cast("string"))
+    return (
+        left.withColumn("_left_key", key)
+        .join(right.drop(right_key), F.col("_left_key") == F.col("_right_key"), "left")
+        .drop("_left_key", "_right_key")
     )
 
 
@@ -349,8 +352,14 @@ def orders_with_customers(raw_orders: DataFrame, raw_customers: DataFrame, n: in
     ).filter(F.col("email_hash").isNotNull())
     order = ["order_id", "extracted_at"]
     first_orders = o.join(c.select("email_hash").distinct(), "email_hash", "left_semi").orderBy(*order).limit(n)
+    per_hash = Window.partitionBy("email_hash").orderBy("customer_id", "customer_extracted_at")
+    first_customers = (
+        c.join(first_orders.select("email_hash").distinct(), "email_hash", "left_semi")
+        .withColumn("_rn", F.row_number().over(per_hash))
+        .filter(F.col("_rn") <= n)
+    )
     return (
-        first_orders.join(c, "email_hash")
+        first_orders.join(first_customers, "email_hash")
         .orderBy(*order, "customer_id", "customer_extracted_at")
         .limit(n)
         .select("order_id", "order_name", "total_price", "customer_id", "orders_count", "total_spent", "email_hash")

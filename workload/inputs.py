@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.functions import as_date, as_timestamp, json_decimal, json_long, money
+from martlet.functions import as_timestamp, json_decimal, json_long, money
 from martlet.operators import conform, dedup, pii, unify
 from martlet.plans import commerce, marketing
 from martlet.sources import tables
@@ -700,5 +700,3 @@ class Inputs:
             )
         )
 
-
-__all__ = ["AS_OF", "BASELINE_AS_OF", "EVENTS_AS_OF", "Inputs", "as_date"]
