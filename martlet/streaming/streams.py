@@ -68,10 +68,18 @@ def hash_on_arrival(orders: DataFrame, clear: Sequence[str] = ("email", "contact
     return pii.nullify_pii(pii.hash_missing(fresh, "email", "email_hash"), clear, "email_hash")
 
 
-def first_wins(stream: DataFrame, keys: Sequence[str], ts: str, delay: str = "28 days") -> DataFrame:
-    """Drop repeats that arrive within the look-back; state is kept no longer than that."""
-    timed = stream.withColumn("_event_time", _event_time(ts)).withWatermark("_event_time", delay)
-    return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
+def first_wins(
+    stream: DataFrame, keys: Sequence[str], ts: str, delay: str = "28 days", salts: int = 32
+) -> DataFrame:
+    """Drop repeats that arrive within the look-back; state is kept no longer than that.
+
+    A stateful dedup shuffles every row to its key's task. A first pass over key and salt
+    lets at most `salts` rows of a key through, so a hot key is worked off by many tasks.
+    """
+    salt = F.pmod(F.xxhash64(*stream.columns), F.lit(salts))
+    timed = stream.withColumn("_salt", salt).withColumn("_event_time", _event_time(ts))
+    salted = timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([*keys, "_salt"])
+    return salted.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time", "_salt")
 
 
 def latest_wins(

@@ -108,14 +108,15 @@ class Inputs:
         columns = self.customer_columns()
         return j.select(*orders.columns, *[columns[f].alias(f"c_{f}") for f in fields])
 
-    @cached_property
-    def _customer_base(self) -> DataFrame:
-        c = self.with_nation(self.table("customer"), "c_nationkey")
-        return c.select(*[col.alias(name) for name, col in self.customer_columns().items()])
-
     @cached_property
     def raw_customers(self) -> DataFrame:
-        v = self._customer_base.withColumn("extract_no", versions(F.col("tags") == "BUILDING"))
+        return self.customers_from(self.table("customer"))
+
+    def customers_from(self, customer: DataFrame) -> DataFrame:
+        """Customer extract over the customer table, batch or stream; the nations are 25 rows."""
+        c = self.with_nation(customer, "c_nationkey")
+        base = c.select(*[col.alias(name) for name, col in self.customer_columns().items()])
+        v = base.withColumn("extract_no", versions(F.col("tags") == "BUILDING"))
         latest = F.col("extract_no") == 2
         return (
             v.withColumn("tags", F.when(latest, F.col("tags")).otherwise("OLD"))
@@ -129,11 +130,8 @@ class Inputs:
 
     @cached_property
     def raw_orders(self) -> DataFrame:
-        return self.orders_from(self.table("orders"))
-
-    def orders_from(self, orders: DataFrame) -> DataFrame:
-        """Order extract over the orders table, batch or stream."""
-        return self.shape_orders(self.with_customer(orders, "email", "phone", "first_name", "default_address"))
+        fields = ("email", "phone", "first_name", "default_address")
+        return self.shape_orders(self.with_customer(self.table("orders"), *fields))
 
     @staticmethod
     def shape_orders(o: DataFrame) -> DataFrame:

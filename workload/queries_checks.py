@@ -869,17 +869,13 @@ def stream_of(x, table):
     return streams.read_stream(x.spark, f"{x.sf_dir}/{table}.parquet", x.table(table).schema)
 
 
-def order_stream(x):
-    return x.orders_from(stream_of(x, "orders"))
-
-
 query(
     "stream_hash_pii",
-    lambda x: streams.append_stream(streams.hash_on_arrival(order_stream(x)), fresh_folder(x.spark, "hashed")).select(
-        "id", "extracted_at", "email", "email_hash"
-    ),
+    lambda x: streams.append_stream(
+        streams.hash_on_arrival(x.customers_from(stream_of(x, "customer")), ["email"]), fresh_folder(x.spark, "hashed")
+    ).select("id", "extracted_at", "email", "email_hash"),
     """
-SELECT id, extracted_at, if(email_hash IS NULL, email, NULL) AS email, email_hash FROM hashed_orders
+SELECT id, extracted_at, if(email_hash IS NULL, email, NULL) AS email, email_hash FROM hashed_customers
 """,
 )
 query(
