@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from martlet.functions import EMPTY_SHA256, divide, has_text, hash_pii, percent, trim_ws
 from martlet.operators.checks import union
-from martlet.operators.pii import original_column
 
 HASH = "email_hash"
 
@@ -236,16 +235,13 @@ def restore_verify(df: DataFrame, fields: Sequence[str], hash_col: str = HASH) -
 
 
 # ------------------------------------------------------------------- reference tables
-def ref_null_check(refs: Mapping[str, DataFrame]) -> DataFrame:
-    def one(field: str, df: DataFrame) -> DataFrame:
-        return df.agg(
-            F.lit(field).alias("table_name"),
-            F.count("*").alias("total_rows"),
-            F.count_if(F.col(original_column(field)).isNull()).alias("null_original"),
-            F.count_if(F.col(f"{field}_hash_consistent").isNull()).alias("null_consistent"),
-        )
-
-    return union(one(f, df) for f, df in refs.items())
+def ref_null_check(master: DataFrame) -> DataFrame:
+    """No reference table may hold a NULL on either side."""
+    return master.groupBy(F.col("pii_field").alias("table_name")).agg(
+        F.count("*").alias("total_rows"),
+        F.count_if(F.col("original_value").isNull()).alias("null_original"),
+        F.count_if(F.col("consistent_hash").isNull()).alias("null_consistent"),
+    )
 
 
 def ref_summary(master: DataFrame) -> DataFrame:

@@ -280,18 +280,53 @@ def original_column(field: str) -> str:
     return "ip_original" if field == "ip" else f"{field}_hash_original"
 
 
-def master_reference(refs: Mapping[str, DataFrame]) -> DataFrame:
-    out = None
-    for field, df in refs.items():
-        one = df.select(
-            F.lit(field).alias("pii_field"),
-            F.col(original_column(field)).alias("original_value"),
-            F.col(f"{field}_hash_consistent").alias("consistent_hash"),
+# Field, table, column and source name of every reference value.
+REFERENCE_SOURCES = (
+    ("email", "customers", "email_hash", "shopify_customers"),
+    ("email", "orders", "email_hash", "shopify_orders"),
+    ("phone", "customers", "phone_hash", "shopify_customers"),
+    ("phone", "orders", "phone_hash", "shopify_orders"),
+    ("first_name", "customers", "first_name_hash", "shopify_customers"),
+    ("last_name", "customers", "last_name_hash", "shopify_customers"),
+    ("address", "customers", "addresses_hash", "shopify_customers_addresses"),
+    ("address", "customers", "default_address_hash", "shopify_customers_default_address"),
+    ("ip", "orders", "browser_ip", "shopify_orders"),
+)
+
+
+def master_reference(customers: DataFrame, orders: DataFrame) -> DataFrame:
+    """All reference tables in one, each clean table read once.
+
+    A row is turned into its (field, value, source) entries; equal entries are merged
+    before the values meet, so a value everyone shares is a few rows by then.
+    """
+
+    def entries(table: str, df: DataFrame) -> DataFrame:
+        found = [
+            F.struct(F.lit(field).alias("pii_field"), F.col(col).alias("original_value"), F.lit(source).alias("source"))
+            for field, t, col, source in REFERENCE_SOURCES
+            if t == table
+        ]
+        return df.select(F.explode(F.array(*found)).alias("e")).select("e.*")
+
+    seen = entries("customers", customers).unionByName(entries("orders", orders))
+    given = F.col("original_value").isNotNull() & ((F.col("pii_field") != "ip") | (F.col("original_value") != ""))
+    return (
+        seen.filter(given)
+        .distinct()
+        .groupBy("pii_field", "original_value")
+        .agg(
+            F.array_join(F.array_sort(F.collect_set("source")), ", ").alias("sources"),
+            F.count("*").alias("source_count"),
+        )
+        .select(
+            "pii_field",
+            "original_value",
+            F.sha2("original_value", 256).alias("consistent_hash"),
             "sources",
             "source_count",
         )
-        out = one if out is None else out.unionByName(one)
-    return out
+    )
 
 
 def _lookup(df: DataFrame, ref: DataFrame, field: str, col: str, spread_by: str) -> DataFrame:
@@ -475,40 +510,35 @@ def pii_non_null_audit(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) ->
 def pii_column_scan(tables: Mapping[str, DataFrame], mapping: Mapping[str, Mapping[str, str]], samples: int = 3):
     """Which mapped columns exist, how many rows hold a value, and a few short samples of each.
 
-    The samples are the smallest distinct values, each cut to 20 characters.
+    The samples are the smallest values, each cut to 20 characters.
     """
-    parts = []
+    parts = None
     for table, fields in mapping.items():
         df = tables[table]
         present = [c for c in fields if c in df.columns]
         if not present:
             continue
-        long = df.unpivot([], [F.col(c).cast("string").alias(c) for c in present], "column_name", "value")
-        counts = long.groupBy("column_name").agg(F.count("value").alias("rows_with_data"))
+        counts = df.agg(*[F.count(c).alias(c) for c in present]).unpivot([], present, "column_name", "rows_with_data")
         top = None
         for c in present:
+            text = F.col(c).cast("string")
             one = (
-                df.filter(has_text(F.col(c).cast("string")))
-                .select(F.lit(c).alias("column_name"), F.substring(F.col(c).cast("string"), 1, 20).alias("sample"))
-                .distinct()
+                df.filter(has_text(text))
+                .select(F.lit(c).alias("column_name"), F.substring(text, 1, 20).alias("sample"))
                 .orderBy("sample")
                 .limit(samples)
             )
             top = one if top is None else top.unionByName(one)
-        listed = top.groupBy("column_name").agg(F.array_join(F.array_sort(F.collect_list("sample")), " | ").alias("samples"))
+        listed = top.groupBy("column_name").agg(
+            F.array_join(F.array_sort(F.collect_list("sample")), " | ").alias("samples")
+        )
         kinds = F.create_map(*[F.lit(x) for kv in fields.items() for x in kv])
-        parts.append(
-            counts.join(listed, "column_name", "left").select(
-                F.lit(table).alias("table_name"),
-                "column_name",
-                kinds[F.col("column_name")].alias("pii_type"),
-                "rows_with_data",
-                "samples",
-            )
+        scanned = counts.join(listed, "column_name", "left").select(
+            F.lit(table).alias("table_name"),
+            "column_name",
+            kinds[F.col("column_name")].alias("pii_type"),
+            "rows_with_data",
+            "samples",
         )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
+        parts = scanned if parts is None else parts.unionByName(scanned)
+    return parts

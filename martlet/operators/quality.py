@@ -50,14 +50,12 @@ def to_results(flat: DataFrame, observed: str, warn: float | None = None, crit:
 # ------------------------------------------------------------------- five basic checks
 def check_price_format(df: DataFrame, price: str, table: str) -> DataFrame:
     """Prices that look like cents: a high median, or single orders above the limits."""
-    counts = value_counts(df, price)
-    over = lambda limit: F.coalesce(F.sum(F.when(F.col("v") > limit, F.col("n"))), F.lit(0))
-    outliers = counts.agg(over(PRICE["warning"]).alias("w"), over(PRICE["critical"]).alias("c"))
-    stats = exact_median(counts).select(
+    over = lambda limit: F.when(F.col("v") > limit, F.col("n")).otherwise(0)
+    outliers = {"suspicious_count": over(PRICE["warning"]), "critical_count": over(PRICE["critical"])}
+    stats = exact_median(value_counts(df, price), outliers).select(
         F.col("median").alias("median_price"),
         F.col("max_value").alias("max_price"),
-        outliers.select("w").scalar().alias("suspicious_count"),
-        outliers.select("c").scalar().alias("critical_count"),
+        *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in outliers],
     )
     status = (
         F.when(F.col("median_price").isNull(), "WARNING")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions import as_date, as_timestamp, divide, month_of, percent
@@ -374,13 +374,8 @@ def customer_segments(shop: DataFrame) -> DataFrame:
         F.sum("net").alias("revenue"),
         divide(F.sum("value"), F.sum("n")).alias("aov"),
     )
-    both = per_segment.agg(F.sum("customers").alias("c"), F.sum("revenue").alias("r"))
-    return per_segment.withColumns(
-        {
-            "customer_share_pct": percent(F.col("customers"), both.select("c").scalar()),
-            "revenue_share_pct": percent(F.col("revenue"), both.select("r").scalar()),
-        }
-    )
+    share = lambda c: percent(F.col(c), F.sum(c).over(Window.partitionBy()))  # noqa: E731  over two rows
+    return per_segment.withColumns({"customer_share_pct": share("customers"), "revenue_share_pct": share("revenue")})
 
 
 def region_performance(shop_geo: DataFrame, as_of, n: int = 5) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions import as_date, divide, month_of, percent
@@ -83,7 +83,8 @@ def executive_summary(marketing: DataFrame) -> DataFrame:
 
 
 def channel_mix(marketing: DataFrame, as_of, days: int = 30) -> DataFrame:
-    """Channel totals with shares; the grand total is a scalar, so no row meets another."""
+    """Channel totals with their shares. The totals over all channels are taken over the
+    aggregated rows, one per channel, so the marketing table is read once."""
     per_channel = (
         since(marketing, as_of, days=days)
         .groupBy("channel")
@@ -94,12 +95,9 @@ def channel_mix(marketing: DataFrame, as_of, days: int = 30) -> DataFrame:
             divide(_sum("revenue"), _sum("ad_spend")).alias("roas"),
         )
     )
-    total = per_channel.agg(_sum("total_spend").alias("s"), _sum("total_revenue").alias("r"))
+    share = lambda c: percent(F.col(c), F.sum(c).over(Window.partitionBy()))
     return per_channel.withColumns(
-        {
-            "spend_share_pct": percent(F.col("total_spend"), total.select("s").scalar()),
-            "revenue_share_pct": percent(F.col("total_revenue"), total.select("r").scalar()),
-        }
+        {"spend_share_pct": share("total_spend"), "revenue_share_pct": share("total_revenue")}
     )
 
 
