@@ -80,13 +80,16 @@ def customers_enhanced(clean_customers: DataFrame) -> DataFrame:
     )
 
 
+# Kind of order by how its name begins.
+ORDER_TYPES = {"#": "Shopify Standard", "X-": "Marketplace/External"}
+
+
 def order_type(name: Column | str) -> Column:
     n = F.col(name) if isinstance(name, str) else name
-    return (
-        F.when(n.startswith("#"), "Shopify Standard")
-        .when(n.startswith("X-"), "Marketplace/External")
-        .otherwise("Other")
-    )
+    kind = F.lit("Other")
+    for prefix, label in ORDER_TYPES.items():
+        kind = F.when(n.startswith(prefix), label).otherwise(kind)
+    return kind
 
 
 def order_type_counts(clean_orders: DataFrame) -> DataFrame:
@@ -320,22 +323,31 @@ def ad_revenue_from_roas(ads: DataFrame) -> DataFrame:
     )
 
 
+# What a zero is put down to.
+NORMAL = "Normal"
+NO_CAMPAIGN = "No campaign running"
+LOW_TRAFFIC = "Low traffic - not enough clicks"
+LAG = "Attribution issue or conversion lag"
+UNKNOWN_ZERO = "Unknown - investigate"
+PAUSED = "Campaign paused or budget exhausted"
+SYNC_ISSUE = "Data sync issue - check Airbyte"
+# Clicks below which traffic is low; spend and clicks above which no revenue is suspicious.
+LOW_CLICKS, SUSPICIOUS_SPEND, SUSPICIOUS_CLICKS = 10, 100, 50
+
+
 def zero_explanations(marketing: DataFrame) -> DataFrame:
     """Say why a day shows zero revenue or impressions, and flag the zeros that look wrong."""
-    none, spent = F.col("revenue") == 0, F.col("ad_spend") > 0
-    unseen = F.col("ad_impressions") == 0
-    idle = F.col("ad_spend") == 0
+    no_revenue, unseen = F.col("revenue") == 0, F.col("ad_impressions") == 0
+    spend, clicks = F.col("ad_spend"), F.col("ad_clicks")
+    after_spend = F.when(clicks < LOW_CLICKS, LOW_TRAFFIC).when(clicks >= LOW_CLICKS, LAG).otherwise(UNKNOWN_ZERO)
+    why_no_revenue = F.when(spend == 0, NO_CAMPAIGN).when(spend > 0, after_spend).otherwise(UNKNOWN_ZERO)
+    why_unseen = F.when(spend == 0, PAUSED).when(spend > 0, SYNC_ISSUE).otherwise(NORMAL)
+    costly = no_revenue & (spend > SUSPICIOUS_SPEND) & (clicks > SUSPICIOUS_CLICKS)
     return marketing.withColumns(
         {
-            "revenue_zero_explanation": F.when(none & idle, "No campaign running")
-            .when(none & spent & (F.col("ad_clicks") < 10), "Low traffic - not enough clicks")
-            .when(none & spent & (F.col("ad_clicks") >= 10), "Attribution issue or conversion lag")
-            .when(none, "Unknown - investigate")
-            .otherwise("Normal"),
-            "impressions_zero_explanation": F.when(unseen & idle, "Campaign paused or budget exhausted")
-            .when(unseen & spent, "Data sync issue - check Airbyte")
-            .otherwise("Normal"),
-            "is_suspicious_zero": (none & (F.col("ad_spend") > 100) & (F.col("ad_clicks") > 50)) | (unseen & spent),
+            "revenue_zero_explanation": F.when(no_revenue, why_no_revenue).otherwise(NORMAL),
+            "impressions_zero_explanation": F.when(unseen, why_unseen).otherwise(NORMAL),
+            "is_suspicious_zero": costly | (unseen & (spend > 0)),
         }
     )
 

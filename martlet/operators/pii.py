@@ -386,6 +386,12 @@ def customer_profile(customers: DataFrame, refs: Mapping[str, DataFrame]) -> Dat
     )
 
 
+# Risk bands of an address, and the counts above which they begin.
+HIGH_RISK = "High Risk - Many accounts from same IP"
+MEDIUM_RISK = "Medium Risk - Multiple accounts"
+HIGH_ABOVE, MEDIUM_ABOVE = 5, 3
+
+
 def fraud_by_ip(orders: DataFrame) -> DataFrame:
     """Addresses used with several emails or phones, with a risk band.
 
@@ -415,8 +421,8 @@ def fraud_by_ip(orders: DataFrame) -> DataFrame:
     emails, phones = F.col("unique_emails"), F.col("unique_phones")
     return per_ip.filter((emails > 1) | (phones > 1)).withColumn(
         "fraud_risk",
-        F.when((emails > 5) & (phones > 5), "High Risk - Many accounts from same IP")
-        .when(emails > 3, "Medium Risk - Multiple accounts")
+        F.when((emails > HIGH_ABOVE) & (phones > HIGH_ABOVE), HIGH_RISK)
+        .when(emails > MEDIUM_ABOVE, MEDIUM_RISK)
         .otherwise("Normal"),
     )
 

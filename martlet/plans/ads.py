@@ -115,16 +115,22 @@ def ad_yearly(latest_json: DataFrame) -> DataFrame:
     )
 
 
+# Words in a campaign's name and the type they stand for, in order of precedence.
+CAMPAIGN_TYPES = (
+    ("remarketing", "Remarketing"),
+    ("prospecting", "Prospecting"),
+    ("Catalogue", "Catalogue/Smart"),
+    ("Catalog", "Catalogue/Smart"),
+    ("search", "Search"),
+)
+
+
 def campaign_type(name: str) -> Column:
     """Kind of campaign by words in its name, upper and lower case told apart; first match wins."""
-    n = F.col(name)
-    return (
-        F.when(n.contains("remarketing"), "Remarketing")
-        .when(n.contains("prospecting"), "Prospecting")
-        .when(n.contains("Catalogue") | n.contains("Catalog"), "Catalogue/Smart")
-        .when(n.contains("search"), "Search")
-        .otherwise("Other")
-    )
+    kind = F.lit("Other")
+    for word, label in reversed(CAMPAIGN_TYPES):
+        kind = F.when(F.col(name).contains(word), label).otherwise(kind)
+    return kind
 
 
 def campaign_type_performance(latest_json: DataFrame) -> DataFrame:

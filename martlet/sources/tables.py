@@ -14,16 +14,17 @@ def read_table(spark: SparkSession, folder: str, name: str, schema: StructType |
     return reader.parquet(f"{folder}/{name}.parquet")
 
 
-def spread_small(df: DataFrame, path: str, floor: int = 1 << 20) -> DataFrame:
+def spread_small(df: DataFrame, floor: int = 1 << 20) -> DataFrame:
     """Spread a table that fits in one scan split over all cores.
 
     Such a table is often a single row group and would be worked on by a single task.
     Larger tables are left alone: their scan already has a task per split, and they are
-    never shuffled here. Rows are spread by the first column, which names them.
+    never shuffled here. Rows are spread by the first column, which names them. The size
+    is the one the scan has listed already.
     """
     spark = df.sparkSession
-    size = _bytes(spark, path)
-    limit = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    limit = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     if not floor <= size <= limit:
         return df
     return df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
@@ -67,19 +68,9 @@ def sync_write(df: DataFrame, path: str, cursor: str | None = None) -> DataFrame
     return spark.read.parquet(path)
 
 
-def _hadoop(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _hadoop(spark, path)
-    return fs.exists(p)
-
-
-def _bytes(spark: SparkSession, path: str) -> int:
-    fs, p = _hadoop(spark, path)
-    return fs.getContentSummary(p).getLength()
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
 # -------------------------------------------------------------------------- catalogue

@@ -1,6 +1,6 @@
 """Run a registered query and its DuckDB twin and compare rows.
 
-`python -m tests.compare <sf> [name ...]` prints what differs.
+`python -m tests.compare <sf or folder> [name ...]` prints what differs.
 """
 
 from __future__ import annotations
@@ -74,13 +74,14 @@ def main() -> int:
 
     sf, names = sys.argv[1], sys.argv[2:]
     spark = local_session(8)
-    con = duck(f"{ROOT}/{sf}")
+    folder = os.path.join(ROOT, sf)
+    con = duck(folder)
     q, o = e.queries(), e.oracle_sql()
     bad = 0
     for name in names or q:
         start = time.time()
         try:
-            df = q[name](spark, f"{ROOT}/{sf}")
+            df = q[name](spark, folder)
             if name in o:
                 text = difference(df, con, o[name])
             else:

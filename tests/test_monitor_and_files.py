@@ -115,8 +115,8 @@ def test_small_tables_are_spread_large_ones_not(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(1000).coalesce(1).write.parquet(path)
     df = spark.read.parquet(path)
-    assert "Exchange" in tables.spread_small(df, path, floor=0)._jdf.queryExecution().executedPlan().toString()
-    assert tables.spread_small(df, path, floor=1 << 20) is df
+    assert "Exchange" in tables.spread_small(df, floor=0)._jdf.queryExecution().executedPlan().toString()
+    assert tables.spread_small(df) is df
 
 
 def test_shared_folder_comes_from_the_session(spark):

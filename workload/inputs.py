@@ -57,7 +57,7 @@ class Inputs:
     def _read(self, name: str) -> DataFrame:
         df = tables.read_table(self.spark, self.sf_dir, name)
         if name in ("lineitem", "orders", "events"):
-            df = tables.spread_small(df, f"{self.sf_dir}/{name}.parquet")
+            df = tables.spread_small(df)
         return df
 
     # ------------------------------------------------------------ shop extracts
