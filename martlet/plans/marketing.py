@@ -17,6 +17,10 @@ def _sum(c: str) -> Column:
     return F.sum(c)
 
 
+def _double(c: str) -> Column:
+    return F.col(c).cast("double")
+
+
 def _mean(c: str) -> Column:
     return divide(F.sum(c), F.count(c))
 
@@ -76,7 +80,7 @@ def executive_summary(marketing: DataFrame) -> DataFrame:
     metrics = ["gross_revenue", "net_revenue", "marketing_spend", "orders", "customers"]
     both = year_over_year(monthly_totals(marketing), "month", [*metrics, "roas"])
     change = {
-        f"{m}_yoy": percent(F.col(m).cast("double") - F.col(f"ly_{m}").cast("double"), F.col(f"ly_{m}"))
+        f"{m}_yoy": percent(_double(m) - _double(f"ly_{m}"), F.col(f"ly_{m}"))
         for m in ("gross_revenue", "net_revenue", "marketing_spend", "orders", "roas")
     }
     return both.withColumns(change).drop("ly_roas")
@@ -198,7 +202,7 @@ def revenue_month_yoy(marketing: DataFrame, as_of) -> DataFrame:
             F.col("revenue").alias("current_revenue"),
             F.col("spend").alias("current_spend"),
             F.col("ly_revenue").alias("last_year_revenue"),
-            percent(F.col("revenue") - F.col("ly_revenue"), F.col("ly_revenue")).alias("yoy_growth_pct"),
+            percent(_double("revenue") - _double("ly_revenue"), F.col("ly_revenue")).alias("yoy_growth_pct"),
         )
     )
 
@@ -215,7 +219,7 @@ def labelled_yoy(marketing: DataFrame, as_of) -> DataFrame:
         F.col("c").alias("current_revenue"),
         F.date_format(last, "MMMM yyyy").alias("comparison_period"),
         F.col("l").alias("last_year_revenue"),
-        percent(F.col("c") - F.col("l"), F.col("l")).alias("yoy_growth_pct"),
+        percent(_double("c") - _double("l"), F.col("l")).alias("yoy_growth_pct"),
         F.lit("YoY").alias("growth_type"),
     )
 

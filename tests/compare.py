@@ -17,6 +17,7 @@ from collections import Counter
 import duckdb
 
 ROOT = "/root/testdata"
+EXACT = bool(os.environ.get("COMPARE_EXACT"))  # else doubles count as equal at ten digits
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -34,7 +35,7 @@ def plain(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.10g}") + 0.0
+        return v + 0.0 if EXACT else float(f"{v:.10g}") + 0.0
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None)
     if isinstance(v, (list, tuple)):
