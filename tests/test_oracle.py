@@ -11,7 +11,7 @@ import __spark_entry__ as contract
 from tests.compare import ROOT, difference, duck
 
 SF = os.environ.get("ORACLE_SF", "sf0.001")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = contract.registry.all_queries(), contract.registry.all_oracles()
 
 
 @pytest.fixture(scope="module")
