@@ -45,19 +45,18 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(votes * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def with_fingerprints(docs: DataFrame, text_col: str, shingle: int, name: str = "fp") -> DataFrame:
-    """`docs` as one struct `record`, and the fingerprint of its text as a signed 64-bit number."""
-    record = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    held = docs.select(record.alias("record"), F.col(f"`{text_col}`").cast("string").alias("text"))
+def with_fingerprints(docs: DataFrame, text_col: str, shingle: int, keep: list[str] | None = None) -> DataFrame:
+    """The columns `keep` of `docs` as one struct `record`, and the text's fingerprint `fp` as a signed number."""
+    record = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)])
+    held = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), record.alias("record"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            found = [fingerprint(t, shingle) for t in part.column(1).to_pylist()]
+            found = [fingerprint(t, shingle) for t in part.column(0).to_pylist()]
             signed = np.array(found, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(signed)], names=["record", name])
+            yield pa.RecordBatch.from_arrays([part.column(1), pa.array(signed)], names=["record", "fp"])
 
-    kind = held.select("record").schema.add(name, "long")
-    return held.mapInArrow(run, kind)
+    return held.mapInArrow(run, held.select("record").schema.add("fp", "long"))
 
 
 # ----------------------------------------------------------------------- trie self-join
@@ -217,9 +216,14 @@ def cluster(fps: DataFrame, distance: int, id_col: str) -> DataFrame:
 
 
 def simhash_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 3,
+    distance: int = 2,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """Per document its fingerprint (`fp`, signed) and `component_id`, its record being in `record`.
+    """Per document its fingerprint (`fp`, signed) and `component_id`; `record` holds its columns `keep`, or all.
 
     Fingerprints at `distance` or fewer differing bits are linked; components are those of the links.
     Texts are lower-cased in A-Z and cut into words at ASCII white space; fewer words than a shingle give
@@ -227,7 +231,8 @@ def simhash_components(
     part, but never names its component unless there is no other; then that name is null. Repeated rows are
     all returned. An empty table gives no rows. Clashing names cannot arise, as the columns stay in `record`.
     """
-    held = land(with_fingerprints(docs, text_col, shingle), "simhash")
+    held = with_fingerprints(docs, text_col, shingle, [*dict.fromkeys([id_col, *(docs.columns if keep is None else keep)])])
+    held = land(held, "simhash")
     ids = held.select("fp", F.col(f"record.`{id_col}`").alias("id"))
     return held.join(cluster(ids, distance, "id"), "fp").select("record", "fp", "root", "component_id")
 
@@ -250,7 +255,7 @@ def simhash_dedup(
 
 
 def simhash_digest(docs: DataFrame) -> DataFrame:
-    found = simhash_components(docs.select("doc_id", "text"))
+    found = simhash_components(docs, keep=["doc_id"])
     return found.select(
         F.col("record.doc_id").alias("doc_id"),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),

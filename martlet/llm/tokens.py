@@ -36,14 +36,16 @@ class Encoder:
 
     spaced: the file's tokens keep the white space before a word (byte-level BPE); else it drops
     white space and case, and marks word ends.
+    literal: a special token spelled in a text is ordinary text.
     most_cached: pieces remembered per generation; it bounds memory and changes no result.
     """
 
-    def __init__(self, path: str, spaced: bool, most_cached: int = 500_000):
+    def __init__(self, path: str, spaced: bool, literal: bool = False, most_cached: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = literal
         self.words = Tokenizer(self.library.model)
         self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.spaced, self.most = spaced, most_cached
@@ -184,14 +186,15 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, counts) + np.arange(int(counts.sum()))
 
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
+_encoders: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, spaced: bool) -> Encoder:
+def encoder(path: str, spaced: bool, literal: bool = False) -> Encoder:
     """One encoder per Python worker; workers are reused, so pieces stay known from task to task."""
-    if (path, spaced) not in _encoders:
-        _encoders[path, spaced] = Encoder(path, spaced)
-    return _encoders[path, spaced]
+    key = (path, spaced, literal)
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
 
 
 def per_text(flat: np.ndarray, counts: np.ndarray) -> Iterator[np.ndarray]:
