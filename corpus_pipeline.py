@@ -2,19 +2,47 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import simhash
+from martlet.llm import decontaminate, line_dedup, packing, quality_rules, simhash
 from martlet.llm.common import land
 from martlet.sources.tables import read_table
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules."""
+    return quality_rules.keep_good(docs)
+
+
+def line_deduped(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the later copies of repeated runs of lines."""
+    return line_dedup.without_repeats(docs)
+
+
+def near_deduped(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id."""
     return simhash.simhash_dedup(docs, shingle=3, distance=2)
 
 
-STAGES = [("simhash near-dedup", near_dedup)]
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of the benchmark occurs."""
+    return decontaminate.keep_clean(docs, read_table(spark, sf_dir, "benchmark"), width=10)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of documents in sequences of at most 1024 tokens."""
+    return packing.packing_digest(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality rules", good),
+    ("line dedup", line_deduped),
+    ("simhash near-dedup", near_deduped),
+    ("benchmark decontamination", decontaminated),
+    ("packing", packed),
+]
+# Fingerprints and token ids are beyond DuckDB SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
