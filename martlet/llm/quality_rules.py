@@ -29,12 +29,13 @@ BLANKS = b" \t\n\x0b\x0c\r"
 class Rules:
     """Limits. A text fails the base rules by too few words or too many in repeated windows, and the
     repetition rule if repeats of at least `min_repeat` words cover more than `most_covered` of it, or one repeat is
-    longer than `longest_share` of its words (and than `longest_words`)."""
+    longer than `longest_share` of its words (and than `longest_words`). A line of a site's frame at the top and
+    the bottom of a text is shorter than `min_repeat` and no fault."""
 
     min_words: int = 10
     window: int = 5
     most_repeat_percent: int = 20
-    min_repeat: int = 8
+    min_repeat: int = 20
     most_covered: float = 0.15
     longest_share: float = 0.10
     longest_words: int = 50

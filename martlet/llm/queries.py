@@ -75,9 +75,9 @@ SQL = {
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
         p AS (SELECT doc_id, w, len(w) AS n, unnest(range(len(w))) AS i FROM d),
         five AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i + 1 : i + 5]) AS k FROM p WHERE i + 5 <= n),
-        eight AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i + 1 : i + 8]) AS k FROM p WHERE i + 8 <= n),
+        twenty AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i + 1 : i + 20]) AS k FROM p WHERE i + 20 <= n),
         repeats AS (SELECT doc_id, count(DISTINCT i + o) AS c FROM five, range(5) AS t(o) WHERE k > 1 GROUP BY doc_id),
-        covers AS (SELECT doc_id, count(DISTINCT i + o) AS c FROM eight, range(8) AS t(o) WHERE k > 1 GROUP BY doc_id),
+        covers AS (SELECT doc_id, count(DISTINCT i + o) AS c FROM twenty, range(20) AS t(o) WHERE k > 1 GROUP BY doc_id),
         over_limit AS (
             SELECT DISTINCT doc_id FROM (
                 SELECT doc_id, count(*) OVER (PARTITION BY doc_id, w[i + 1 : i + limit_]) AS k

@@ -153,7 +153,7 @@ class Forest:
                 self.links.append((x, y))
 
 
-def near_links(fps: DataFrame, distance: int) -> DataFrame:
+def near_links(fps: DataFrame, distance: int, per_chunk: int = 20_000) -> DataFrame:
     """Links (a, b) between distinct 64-bit numbers of column `fp` that connect whatever differs in few bits.
 
     Of all pairs within the distance, each task gives a spanning forest: the components are those
@@ -161,7 +161,6 @@ def near_links(fps: DataFrame, distance: int) -> DataFrame:
     """
     depth = _subtree_depth(fps.count())
     masks = _near_masks(depth, distance)
-    per_chunk = 20_000
     top = F.shiftrightunsigned("fp", 64 - depth) if depth else F.lit(0).cast("long")
     keyed = fps.select("fp", top.alias("p"))
     # A subtree of very many fingerprints is split into chunks; every chunk meets every chunk of its partners.

@@ -122,8 +122,8 @@ def _stretches(hinted: DataFrame, width: int) -> DataFrame:
                     hot = hint.get(starts[row])
                     if hot is None:
                         continue
-                    s, n = starts[row], lengths[row]
-                    for s, n in ((s + i, 1) for i in range(n)) if hot else ((s, n),):
+                    first, many = starts[row], lengths[row]
+                    for s, n in [(first + i, 1) for i in range(many)] if hot else [(first, many)]:
                         words = " ".join(all_words[at + s : at + s + n + width - 1])
                         seen = firsts.setdefault(words, (doc_id,))
                         if seen[0] != doc_id:
