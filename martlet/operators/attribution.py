@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martlet.operators.joins import left_join_spread
+
 from martlet.functions import has_text
 
 UNKNOWN = "UNKNOWN_CHANNEL"
@@ -70,9 +72,9 @@ def reclassify_from_extract(utm: DataFrame, extract: DataFrame) -> DataFrame:
         .otherwise("OTHER_CHANNEL")
     )
     hit = (F.col("attribution_status") == UNKNOWN) & F.col("_hit")
-    e = extract.select("order_id", "channel_handle", F.lit(True).alias("_hit"))
+    e = extract.select(F.col("order_id").alias("_extract_id"), "channel_handle", F.lit(True).alias("_hit"))
     return (
-        utm.join(e, "order_id", "left")
+        left_join_spread(utm, e, "order_id", "_extract_id", "created_at")
         .withColumn("sales_channel", F.when(hit, handle).otherwise(F.col("sales_channel")))
         .withColumn("attribution_status", F.when(hit, found).otherwise(F.col("attribution_status")))
         .drop("channel_handle", "_hit")

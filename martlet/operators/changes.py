@@ -34,8 +34,11 @@ def update_from(
     hit = F.when(F.col("_n") == 1, F.lit(True)).when(F.col("_n") > 1, ambiguous.cast("boolean"))
     if condition is not None:
         hit = hit & condition
-    joined = df.join(single, key, "left")
-    return update_where(joined, hit, sets).drop("_n", *[f"src_{c}" for c in others])
+    matched = single.withColumn("_matched", F.col(key).cast("string")).drop(key)
+    spread = F.concat(F.lit("null:"), F.xxhash64(*[c for c in df.columns if c != key]).cast("string"))
+    keyed = df.withColumn("_key", F.coalesce(F.col(key).cast("string"), spread))  # NULL keys must not meet in one task
+    joined = keyed.join(matched, F.col("_key") == F.col("_matched"), "left")
+    return update_where(joined, hit, sets).drop("_n", "_key", "_matched", *[f"src_{c}" for c in others])
 
 
 def retention_delete(df: DataFrame, col: str, as_of, days: int = 730) -> DataFrame:

@@ -28,3 +28,20 @@ def severity(status: Column) -> Column:
     for name, n in SEVERITY.items():
         rank = F.when(status == name, n).otherwise(rank)
     return rank
+
+
+# What is behind a finding, what it does to the reports, and what to do. Keyed by check.
+ADVICE = {
+    "Price Format": ("amounts arrive in cents, or single orders are very large", "revenue and ratios are inflated", "compare a few orders with the shop and correct the unit"),
+    "Duplicate Detection": ("an extract was sent again, or versions were not merged", "sums count rows twice", "merge versions by key and load the table again"),
+    "Null Rate": ("the source stopped sending a field, or it was renamed", "joins on the field lose rows", "look at the source's schema and fill the field again"),
+    "Data Freshness": ("the sync is late or has stopped", "recent days are missing from reports", "look at the last sync job and start it again"),
+    "Record Count": ("the extract is empty", "the source is missing from reports", "look at the extract's range and credentials"),
+}
+
+
+def with_advice(findings: DataFrame) -> DataFrame:
+    """Add cause, impact and action to findings; unknown checks get none."""
+    known = F.create_map(*[x for name, texts in ADVICE.items() for x in (F.lit(name), F.array(*map(F.lit, texts)))])
+    texts = F.try_element_at(known, F.col("check_name"))
+    return findings.withColumns({name: F.try_element_at(texts, F.lit(i + 1)) for i, name in enumerate(("cause", "impact", "action"))})

@@ -18,6 +18,7 @@ from martlet.functions import (
     query_param,
     to_long,
 )
+from martlet.operators.joins import left_join_spread
 
 
 # ------------------------------------------------------------------------- shop
@@ -213,7 +214,8 @@ def ad_unified_google(stats: DataFrame, campaigns: DataFrame) -> DataFrame:
     cost = F.col("metrics_cost_micros").cast("double") / 1000000
     shown, clicks, conv = (F.col(f"metrics_{c}") for c in ("impressions", "clicks", "conversions"))
     value = F.col("metrics_conversions_value")
-    joined = stats.filter(F.col("segments_date").isNotNull()).join(campaigns, "campaign_id", "left")
+    dated = stats.filter(F.col("segments_date").isNotNull())
+    joined = left_join_spread(dated, campaigns.withColumnRenamed("campaign_id", "_campaign"), "campaign_id", "_campaign", "segments_date")
     return joined.select(
         _row_id(F.col("segments_date"), "_", _known(F.col("campaign_id"))).alias("ga_row_id"),
         F.col("segments_date").alias("date"),
@@ -296,11 +298,6 @@ def ad_export_detail(latest_json: DataFrame) -> DataFrame:
     )
 
 
-def export_order(df: DataFrame) -> DataFrame:
-    """Newest day first, then by campaign and ad: the order the export file is read in."""
-    return df.orderBy(F.col("date").desc(), "campaign_name", "ad_name")
-
-
 def ad_conversions_from_actions(facebook: DataFrame, as_of, days: int = 30) -> DataFrame:
     conv = json_long("fb_actions_json", "$[0].value")
     return facebook.filter(

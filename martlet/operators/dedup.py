@@ -20,9 +20,13 @@ def dedup_latest(
     keys: Sequence[str | Column],
     version: Sequence[str | Column],
     tiebreak: Sequence[str | Column] = (),
+    order_by: Sequence[Column] | None = None,
 ) -> DataFrame:
-    """One row per key: the highest `version`, ties settled by `tiebreak` (also descending)."""
-    order = [(F.col(c) if isinstance(c, str) else c).desc() for c in [*version, *tiebreak]]
+    """One row per key: the highest `version`, ties settled by `tiebreak` (also descending).
+
+    `order_by` gives another order, the first row of which is kept.
+    """
+    order = order_by or [(F.col(c) if isinstance(c, str) else c).desc() for c in [*version, *tiebreak]]
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 

@@ -8,11 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions import as_timestamp, hours_between
+from martlet.sources.tables import sync_write
 
 
 # --------------------------------------------------------------------- table catalogue
-def baseline_snapshot(stats: DataFrame, scanned_at) -> DataFrame:
-    return stats.select("table_name", "row_count", "created_at", as_timestamp(scanned_at).alias("scanned_at"))
+def baseline_snapshot(stats: DataFrame, scanned_at, path: str) -> DataFrame:
+    """Store a scan as the baseline later ones are compared with, and give it as stored.
+
+    Scans are kept side by side; a scan that is stored again adds nothing new.
+    """
+    scan = stats.select("table_name", "row_count", "created_at", as_timestamp(scanned_at).alias("scanned_at"))
+    return latest_baseline(sync_write(scan, path, "scanned_at"))
+
+
+def latest_baseline(scans: DataFrame) -> DataFrame:
+    """The tables of the last stored scan."""
+    last = scans.agg(F.max("scanned_at").alias("scanned_at"))
+    return scans.join(last, "scanned_at", "left_semi").select(*scans.columns)
 
 
 def new_tables(now: DataFrame, baseline: DataFrame) -> DataFrame:

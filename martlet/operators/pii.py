@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions import (
@@ -20,7 +20,7 @@ from martlet.functions import (
 )
 from martlet.operators.conform import shipping_geo
 from martlet.operators.dedup import dedup_latest
-from martlet.operators.unify import left_join_spread
+from martlet.operators.joins import left_join_spread
 
 ORDER_CLEAR = ("email", "contact_email", "phone", "billing_address", "shipping_address")
 CUSTOMER_CLEAR = ("email", "phone", "last_name", "addresses", "default_address")
@@ -38,7 +38,7 @@ CUSTOMER_HASHES = (
 def clean_orders(raw_orders: DataFrame) -> DataFrame:
     """Latest version of each order, clear-text columns replaced by hashes."""
     return drop_pii(
-        dedup_latest(raw_orders, ["id"], ["extracted_at"])
+        dedup_latest(raw_orders, ["id"], ["extracted_at"], _rest(raw_orders, "id", "extracted_at"))
         .withColumn("email_hash", hash_pii("email"))
         .withColumn("phone_hash", hash_pii("phone")),
         ORDER_CLEAR,
@@ -50,10 +50,19 @@ def clean_customers(raw_customers: DataFrame) -> DataFrame:
     plain = {f"{c}_hash": hash_pii(c) for c in ("email", "phone", "first_name", "last_name")}
     shaped = {f"{c}_hash": hash_json(c) for c in ("addresses", "default_address")}
     return drop_pii(
-        dedup_latest(raw_customers, ["id"], ["extracted_at"]).withColumns({**plain, **shaped}), CUSTOMER_CLEAR
+        dedup_latest(raw_customers, ["id"], ["extracted_at"], _rest(raw_customers, "id", "extracted_at")).withColumns(
+            {**plain, **shaped}
+        ),
+        CUSTOMER_CLEAR,
     )
 
 
+def _rest(df: DataFrame, *known: str) -> list[str]:
+    """Tie-break of rows extracted at the same time: the update time where there is one, then all other columns."""
+    first = [c for c in ("updated_at",) if c in df.columns and c not in known]
+    return [*first, *[c for c in df.columns if c not in (*known, *first)]]
+
+
 def hash_missing(df: DataFrame, source: str, target: str) -> DataFrame:
     """Fill the hash only where a source value is present and the hash is not."""
     todo = has_text(source) & ~has_text(target)
@@ -329,12 +338,23 @@ def master_reference(customers: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def _lookup(df: DataFrame, ref: DataFrame, field: str, col: str, spread_by: str) -> DataFrame:
-    pairs = ref.select(original_column(field), F.col(f"{field}_hash_consistent").alias(f"_{field}"))
-    return left_join_spread(df, pairs, col, original_column(field), spread_by)
+def _with_references(df: DataFrame, master: DataFrame, columns: Mapping[str, str], key: str) -> DataFrame:
+    """Add the consistent hash of each field as `_<field>`, by one join with the master reference.
+
+    A row becomes its (field, value) entries, which meet the reference together and come back together by the
+    row's key. Rows without any value have no entry and keep NULLs. Keys are unique in the clean tables.
+    """
+    entries = F.array(*[F.struct(F.lit(f).alias("pii_field"), F.col(c).alias("original_value")) for f, c in columns.items()])
+    given = df.select(key, F.explode(F.filter(entries, lambda e: e["original_value"].isNotNull())).alias("e")).select(key, "e.*")
+    pairs = master.select("pii_field", "original_value", "consistent_hash")
+    found = given.join(pairs, ["pii_field", "original_value"])
+    hashes = found.groupBy(key).agg(
+        *[F.max(F.when(F.col("pii_field") == f, F.col("consistent_hash"))).alias(f"_{f}") for f in columns]
+    )
+    return df.join(hashes, key, "left")
 
 
-def apply_references(orders: DataFrame, customers: DataFrame, refs: Mapping[str, DataFrame]) -> DataFrame:
+def apply_references(orders: DataFrame, customers: DataFrame, master: DataFrame) -> DataFrame:
     """Orders with consistent hashes in place of the first ones; what has no reference keeps its own."""
     names = customers.select(F.col("id").alias("_customer"), "first_name_hash", "last_name_hash")
     df = left_join_spread(orders, names, "user_id", "_customer", "id")
@@ -345,9 +365,7 @@ def apply_references(orders: DataFrame, customers: DataFrame, refs: Mapping[str,
         "last_name": "last_name_hash",
         "ip": "browser_ip",
     }
-    for field, col in columns.items():
-        df = _lookup(df, refs[field], field, col, "id")
-    return df.select(
+    return _with_references(df, master, columns, "id").select(
         "id",
         F.coalesce("_email", "email_hash").alias("order_email_hash"),
         F.coalesce("_phone", "phone_hash").alias("order_phone_hash"),
@@ -357,7 +375,7 @@ def apply_references(orders: DataFrame, customers: DataFrame, refs: Mapping[str,
     )
 
 
-def customer_profile(customers: DataFrame, refs: Mapping[str, DataFrame]) -> DataFrame:
+def customer_profile(customers: DataFrame, master: DataFrame) -> DataFrame:
     """Consistent hashes per customer, what is missing, and a completeness score of 0 to 5."""
     columns = {
         "email": "email_hash",
@@ -366,9 +384,7 @@ def customer_profile(customers: DataFrame, refs: Mapping[str, DataFrame]) -> Dat
         "last_name": "last_name_hash",
         "address": "addresses_hash",
     }
-    df = customers
-    for field, col in columns.items():
-        df = _lookup(df, refs[field], field, col, "id")
+    df = _with_references(customers, master, columns, "id")
 
     def status(col: str, label: str) -> Column:
         return F.when(F.col(col).isNull(), f"No {label}").otherwise(f"Has {label}")
@@ -516,7 +532,9 @@ def pii_non_null_audit(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) ->
 def pii_column_scan(tables: Mapping[str, DataFrame], mapping: Mapping[str, Mapping[str, str]], samples: int = 3):
     """Which mapped columns exist, how many rows hold a value, and a few short samples of each.
 
-    The samples are the smallest values, each cut to 20 characters.
+    The samples are the smallest texts, each cut to 30 characters. Counts and samples of all columns come from one
+    pass: a row gives its (column, value) entries, equal ones are counted before they move, and a limit per
+    column keeps the smallest.
     """
     parts = None
     for table, fields in mapping.items():
@@ -524,20 +542,23 @@ def pii_column_scan(tables: Mapping[str, DataFrame], mapping: Mapping[str, Mappi
         present = [c for c in fields if c in df.columns]
         if not present:
             continue
-        counts = df.agg(*[F.count(c).alias(c) for c in present]).unpivot([], present, "column_name", "rows_with_data")
-        top = None
-        for c in present:
-            text = F.col(c).cast("string")
-            one = (
-                df.filter(has_text(text))
-                .select(F.lit(c).alias("column_name"), F.substring(text, 1, 20).alias("sample"))
-                .orderBy("sample")
-                .limit(samples)
-            )
-            top = one if top is None else top.unionByName(one)
-        listed = top.groupBy("column_name").agg(
-            F.array_join(F.array_sort(F.collect_list("sample")), " | ").alias("samples")
+        text = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in present]
+        values = (
+            df.select(F.explode(F.array(*text)).alias("e"))
+            .groupBy(F.col("e.column_name").alias("column_name"), F.substring("e.v", 1, 30).alias("sample"))
+            .agg(F.count("e.v").alias("n"), F.count_if(has_text(F.col("e.v"))).alias("filled"))
+        )
+        order = Window.partitionBy("column_name").orderBy((F.col("filled") == 0).asc(), "sample")
+        place = F.col("filled") > 0
+        top = values.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= samples)
+        repeated = F.array_repeat("sample", F.least(F.col("filled"), F.lit(samples)).cast("int"))
+        listed = (
+            top.filter(place)
+            .groupBy("column_name")
+            .agg(F.slice(F.array_sort(F.flatten(F.collect_list(repeated))), 1, samples).alias("s"))
+            .select("column_name", F.array_join("s", " | ").alias("samples"))
         )
+        counts = values.groupBy("column_name").agg(F.sum("n").alias("rows_with_data"))
         kinds = F.create_map(*[F.lit(x) for kv in fields.items() for x in kv])
         scanned = counts.join(listed, "column_name", "left").select(
             F.lit(table).alias("table_name"),

@@ -173,22 +173,88 @@ class Platform:
     enabled: bool = True
 
 
+def _result(table: str, check: str, status: Column, observed: str, values: Mapping[str, Column], warn=None, crit=None) -> Column:
+    """One result in the common shape, as a struct."""
+    details = [x for name, v in values.items() for x in (F.lit(name), v.cast("string"))]
+    return F.struct(
+        F.lit(check).alias("check_name"),
+        F.lit(table).alias("table_name"),
+        status.alias("status"),
+        values[observed].cast("double").alias("observed"),
+        F.lit(warn).cast("double").alias("warn"),
+        F.lit(crit).cast("double").alias("crit"),
+        F.concat_ws(" ", F.lit(f"{observed} ="), values[observed].cast("string")).alias("message"),
+        F.create_map(*details).cast("map<string,string>").alias("details"),
+    )
+
+
+def scan_checks(p: Platform, as_of, inside: Column) -> DataFrame:
+    """NULL rates, freshness and record count of a platform from one reading, added up per day and then over days.
+
+    `inside` says which days (column `d`) the NULL rates and the count are asked for; freshness looks at all rows.
+    """
+    t = F.col(p.day).cast("timestamp_ntz")
+    nulls = {f: f"_null{i}" for i, f in enumerate(p.critical_fields)}
+    per_day = p.df.groupBy(F.col(p.day).cast("date").alias("d")).agg(
+        F.count("*").alias("n"),
+        F.max(t).alias("latest"),
+        F.min(t).alias("earliest"),
+        *[F.count_if(F.col(f).isNull()).alias(name) for f, name in nulls.items()],
+    )
+    within = lambda c: F.coalesce(F.sum(F.when(inside, F.col(c))), F.lit(0))
+    whole = per_day.agg(
+        F.max("latest").alias("latest_record"),
+        F.min("earliest").alias("earliest_record"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"),
+        within("n").alias("total_count"),
+        F.count(F.when(inside, F.col("d"))).alias("unique_days"),
+        *[within(name).alias(name) for name in nulls.values()],
+    )
+    rates = [
+        F.struct(percent(F.col(name), F.col("total_count")).alias("rate"), F.lit(-i).alias("place"), F.lit(f).alias("field"))
+        for i, (f, name) in enumerate(nulls.items())
+    ]
+    worst = F.array_max(F.array(*rates))
+    rate, empty = worst["rate"], F.col("total_count") == 0
+    hours = hours_between(F.col("latest_record"), as_timestamp(as_of))
+    null_rate = {"total_rows": F.col("total_count"), "max_null_rate": rate, "worst_field": F.when(rate > 0, worst["field"])}
+    fresh = {c: F.col(c) for c in ("latest_record", "earliest_record", "total_records")} | {"hours_since_last": hours}
+    late = checks.above(F.coalesce(hours, F.lit(0)), SYNC_LAG["warning"], SYNC_LAG["critical"])
+    results = [
+        _result(
+            p.name, "Null Rate", F.when(empty, "WARNING").otherwise(checks.above(rate, *NULL_RATE.values())),
+            "max_null_rate", null_rate, *NULL_RATE.values(),
+        ),
+        _result(
+            p.name, "Data Freshness", F.when(F.col("total_records") == 0, "CRITICAL").otherwise(late),
+            "hours_since_last", fresh, *SYNC_LAG.values(),
+        ),
+        _result(
+            p.name, "Record Count", F.when(empty, "WARNING").otherwise("PASS"),
+            "total_count", {c: F.col(c) for c in ("total_count", "unique_days")},
+        ),
+    ]
+    return whole.select(F.explode(F.array(*results)).alias("r")).select("r.*")
+
+
 def run_checks(platforms: Sequence[Platform], as_of, start=None, end=None) -> DataFrame:
-    """All basic checks over all enabled platforms, in the common result shape."""
+    """All basic checks over all enabled platforms, in the common result shape.
+
+    Per platform the table is read for its keys, for its prices if it has any, and once for all the rest.
+    """
     parts = []
     for p in platforms:
         if not p.enabled:
             continue
-        df, day = p.df, F.col(p.day).cast("date")
+        df, inside = p.df, F.lit(True)
         if start is not None and end is not None:
-            df = df.filter(day.between(as_date(start), as_date(end)))
+            df = df.filter(F.col(p.day).cast("date").between(as_date(start), as_date(end)))
+            inside = F.coalesce(F.col("d").between(as_date(start), as_date(end)), F.lit(False))
         if p.price:
             parts.append(to_results(check_price_format(df, p.price, p.name), "median_price", PRICE["warning"], PRICE["critical"]))
         parts += [
             to_results(check_duplicates(df, p.keys, p.name), "duplicate_rate_pct", *DUPLICATE_RATE.values()),
-            to_results(check_null_rates(df, p.critical_fields, p.name), "max_null_rate", *NULL_RATE.values()),
-            to_results(check_freshness(p.df, p.day, as_of, p.name), "hours_since_last", *SYNC_LAG.values()),
-            to_results(check_record_count(df, day, p.name), "total_count"),
+            scan_checks(p, as_of, inside),
         ]
     return checks.union(parts)
 

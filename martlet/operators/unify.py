@@ -8,24 +8,7 @@ from pyspark.sql import functions as F
 from martlet.functions import as_date, digits, divide, hash_pii, json_decimal, money, percent
 from martlet.operators.conform import attribution_channel, order_flags
 from martlet.operators.dedup import dedup_latest
-
-
-def left_join_spread(left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread_by: str) -> DataFrame:
-    """Left join whose NULL keys do not meet in one task.
-
-    A NULL key never matches, yet all of them hash to the same partition, and guest
-    orders may be a third of the table. They get a key of their own instead, one no
-    real key can equal, taken from a well-spread column. Keys are compared as text.
-    `right_key` is dropped from the output.
-    """
-    spread = F.concat(F.lit("null:"), F.col(spread_by).cast("string"))
-    key = F.coalesce(F.col(left_key).cast("string"), spread)
-    right = right.filter(F.col(right_key).isNotNull()).withColumn("_right_key", F.col(right_key).cast("string"))
-    return (
-        left.withColumn("_left_key", key)
-        .join(right.drop(right_key), F.col("_left_key") == F.col("_right_key"), "left")
-        .drop("_left_key", "_right_key")
-    )
+from martlet.operators.joins import left_join_spread
 
 
 # ------------------------------------------------------------- children per order
@@ -136,6 +119,19 @@ def utm_attribution(utm: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------- unified orders
+def _with_child(orders: DataFrame, child: DataFrame) -> DataFrame:
+    """Left join of a table with a row per order, on the numeric id.
+
+    Orders without one (marketplace orders have other names) match nothing and are spread by their own id: `_order`
+    is the numeric id, or a text no number equals. All children join on it, so they share one partitioning.
+    """
+    if "_order" not in orders.columns:
+        own = F.concat(F.lit("none:"), F.col("order_id").cast("string"))
+        orders = orders.withColumn("_order", F.coalesce(F.col("order_id_numeric").cast("string"), own))
+    keyed = child.filter(F.col("order_id_numeric").isNotNull()).withColumn("_order", F.col("order_id_numeric").cast("string"))
+    return orders.join(keyed.drop("order_id_numeric"), "_order", "left")
+
+
 def one_customer_per_hash(customers: DataFrame) -> DataFrame:
     return dedup_latest(customers, ["customer_email_hash"], ["customer_last_sync_at", "customer_id"])
 
@@ -166,8 +162,8 @@ def shopify_unified(
         orders, customers.drop("customer_last_sync_at"), "order_email_hash", "customer_email_hash", "order_id"
     )
     for child in (items, transactions, utm.drop("utm_extracted_at"), refunds):
-        joined = joined.join(child, "order_id_numeric", "left")
-    return order_flags(joined).withColumns(
+        joined = _with_child(joined, child)
+    return order_flags(joined.drop("_order")).withColumns(
         {
             "items_count": F.coalesce("items_count", F.lit(0).cast("bigint")),
             "attribution_channel": attribution_channel(F.col("first_utm_source"), F.col("source_name")),
@@ -207,7 +203,7 @@ def shopify_unified_consistent(
     joined = left_join_spread(orders, pairs, "order_email_hash", "email_hash_original", "order_id")
     joined = left_join_spread(joined, c, "order_email_hash", "_match_hash", "order_id")
     for child in (items, transactions, utm, refunds):
-        joined = joined.join(child, "order_id_numeric", "left")
+        joined = _with_child(joined, child)
     zero = {
         n: F.coalesce(n, F.lit(0).cast("bigint"))
         for n in ("items_count", "total_quantity", "transaction_count", "refund_count")
@@ -223,7 +219,7 @@ def shopify_unified_consistent(
             "net_revenue": F.col("order_value") - refunded,
             "refunds_total_amount": refunded,
         }
-    ).drop("_consistent", "_customer_hash")
+    ).drop("_consistent", "_customer_hash", "_order")
 
 
 # -------------------------------------------------------------------- daily and master

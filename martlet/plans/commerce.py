@@ -17,33 +17,54 @@ def average(c: str) -> Column:
     return divide(F.sum(c), F.count(c))
 
 
+def _by_key(shop: DataFrame, keys: dict[str, str], values: list[str]) -> DataFrame:
+    """Each row once per key kind, with `kind`, `key` and values, so several distinct counts come from one reading.
+
+    Values belong to the kind named first; the others carry NULLs, which add nothing.
+    """
+    first = next(iter(keys))
+    entries = [
+        F.struct(
+            F.lit(kind).alias("kind"),
+            F.col(c).cast("string").alias("key"),
+            *[(F.col(v) if kind == first else F.lit(None).cast(shop.schema[v].dataType)).alias(v) for v in values],
+        )
+        for kind, c in keys.items()
+    ]
+    other = [c for c in shop.columns if c not in values]
+    return shop.select(*other, F.explode(F.array(*entries)).alias("e")).select(*other, "e.*")
+
+
 def shopify_daily_metrics(shop: DataFrame) -> DataFrame:
     """Daily order figures.
 
-    Eight distinct counts in one aggregate would copy every row eight times. Instead one
-    branch first brings the rows of an order together and then adds orders up, the other
-    does the same for customers; the two meet again with one row per day each. The
-    customer branch reads three columns.
+    Eight distinct counts in one aggregate would copy every row eight times, and a branch per counted thing would build
+    the order table anew. Instead each row counts twice, for its order and for its customer: rows of an order or
+    customer are brought together first, then added up per day.
     """
-    dated = shop.filter(F.col("order_date").isNotNull())
-    source = F.col("first_utm_source")
-    per_order = dated.groupBy("order_date", "order_id").agg(
-        *[F.sum(c).alias(c) for c in ("order_value", "order_net_value", "order_discounts", "order_tax")],
+    sums = ["order_value", "order_net_value", "order_discounts", "order_tax", "items_count", "total_quantity"]
+    sums += ["transaction_count", "transactions_total_amount"]
+    source, order = F.col("first_utm_source"), F.col("kind") == "order"
+    used = ["order_date", "order_id", "customer_id", "first_utm_source", "is_cancelled", "has_refund"]
+    dated = shop.filter(F.col("order_date").isNotNull()).select(
+        *used, "customer_order_count_shopify", "refunds_total_amount", *sums
+    )
+    rows = _by_key(dated, {"order": "order_id", "customer": "customer_id"}, [*sums, "refunds_total_amount"])
+    per_key = rows.groupBy("order_date", "kind", "key").agg(
+        *[F.sum(c).alias(c) for c in sums],
         F.count("order_value").alias("_values"),
-        F.sum("items_count").alias("items_count"),
         F.count("items_count").alias("_items"),
-        F.sum("total_quantity").alias("total_quantity"),
-        F.sum("transaction_count").alias("transaction_count"),
         F.count("transaction_count").alias("_with_transactions"),
-        F.sum("transactions_total_amount").alias("transactions_total_amount"),
-        F.sum(F.when(F.col("has_refund"), F.col("refunds_total_amount")).otherwise(F.lit(0))).alias("refunds"),
+        F.sum(F.when(F.col("has_refund"), F.col("refunds_total_amount")).when(order, F.lit(0))).alias("refunds"),
         *[_flag(source == s).alias(s) for s in ("facebook", "google", "tiktok")],
         _flag(source.isNull()).alias("direct"),
         _flag(F.col("is_cancelled")).alias("cancelled"),
         _flag(F.col("has_refund")).alias("refunded"),
+        _flag(F.col("customer_order_count_shopify") > 1).alias("returning"),
     )
-    orders = per_order.groupBy("order_date").agg(
-        F.count("*").alias("orders"),
+    known = (F.col("kind") == "customer") & F.col("key").isNotNull()
+    daily = per_key.groupBy("order_date").agg(
+        F.count_if(order).alias("orders"),
         F.sum("order_value").alias("gross_revenue"),
         F.sum("order_net_value").alias("net_revenue"),
         divide(F.sum("order_value"), F.sum("_values")).alias("aov"),
@@ -53,48 +74,45 @@ def shopify_daily_metrics(shop: DataFrame) -> DataFrame:
         F.sum("total_quantity").alias("total_units"),
         divide(F.sum("items_count"), F.sum("_items")).alias("avg_items_per_order"),
         *[
-            F.count_if(F.col(c)).alias(f"{c}_orders")
+            F.count_if(order & F.col(c)).alias(f"{c}_orders")
             for c in ("facebook", "google", "tiktok", "direct", "cancelled", "refunded")
         ],
         F.sum("refunds").alias("total_refund_amount"),
         divide(F.sum("transaction_count"), F.sum("_with_transactions")).alias("avg_transactions_per_order"),
         F.sum("transactions_total_amount").alias("total_transaction_amount"),
+        F.count_if(known).alias("unique_customers"),
+        F.count_if(known & F.col("returning")).alias("returning_customers"),
     )
-    customers = (
-        dated.groupBy("order_date", "customer_id")
-        .agg(_flag(F.col("customer_order_count_shopify") > 1).alias("returning"))
-        .groupBy("order_date")
-        .agg(
-            F.count("customer_id").alias("unique_customers"),
-            F.count_if(F.col("returning") & F.col("customer_id").isNotNull()).alias("returning_customers"),
-        )
-        .withColumn("returning_customer_pct", percent(F.col("returning_customers"), F.col("unique_customers")))
-    )
-    return orders.join(customers, "order_date").withColumnRenamed("order_date", "date")
+    share = percent(F.col("returning_customers"), F.col("unique_customers"))
+    return daily.withColumn("returning_customer_pct", share).withColumnRenamed("order_date", "date")
 
 
 def shopify_daily_metrics_lite(shop: DataFrame) -> DataFrame:
     """Short variant; here the returning share, and cancelled and refunded, count order rows."""
-    dated = shop.filter(F.col("order_date").isNotNull())
+    order = F.col("kind") == "order"
     rows = {
         "cancelled_orders": F.col("is_cancelled"),
         "refunded_orders": F.col("has_refund"),
         "_returning": F.col("customer_order_count_shopify") > 1,
     }
-    per_order = dated.groupBy("order_date", "order_id").agg(
-        *[F.sum(c).alias(c) for c in ("order_value", "order_net_value")],
+    sums = ["order_value", "order_net_value"]
+    used = ["order_date", "order_id", "customer_id", "is_cancelled", "has_refund", "customer_order_count_shopify"]
+    dated = shop.filter(F.col("order_date").isNotNull()).select(*used, *sums)
+    keyed = _by_key(dated, {"order": "order_id", "customer": "customer_id"}, sums)
+    per_key = keyed.groupBy("order_date", "kind", "key").agg(
+        *[F.sum(c).alias(c) for c in sums],
         F.count("order_value").alias("_values"),
-        *[F.count_if(cond).alias(name) for name, cond in rows.items()],
+        *[F.count_if(order & cond).alias(name) for name, cond in rows.items()],
     )
-    orders = per_order.groupBy("order_date").agg(
-        F.count("*").alias("orders"),
+    daily = per_key.groupBy("order_date").agg(
+        F.count_if(order).alias("orders"),
         F.sum("order_value").alias("gross_revenue"),
         F.sum("order_net_value").alias("net_revenue"),
         divide(F.sum("order_value"), F.sum("_values")).alias("aov"),
         *[F.sum(name).alias(name) for name in rows],
+        F.count_if(~order & F.col("key").isNotNull()).alias("unique_customers"),
     )
-    customers = dated.groupBy("order_date").agg(F.count_distinct("customer_id").alias("unique_customers"))
-    return orders.join(customers, "order_date").select(
+    return daily.select(
         F.col("order_date").alias("date"),
         "orders",
         "gross_revenue",
@@ -319,18 +337,20 @@ def utm_extract_status(utm: DataFrame, as_of) -> DataFrame:
 
 # ------------------------------------------------------------------- whole-table totals
 def order_totals(history: DataFrame) -> DataFrame:
-    """Whole-table summary. Days are counted over day groups, customers on their own."""
-    per_day = history.groupBy(F.col("created_at").cast("date").alias("day")).agg(
-        F.count("*").alias("n"), F.sum("total_price").alias("value")
-    )
-    customers = history.agg(F.count_distinct("customer_id"))
-    return per_day.agg(
+    """Whole-table summary; days and customers are counted in one reading."""
+    dated = history.select(F.col("created_at").cast("date").alias("day"), "customer_id", "total_price", F.lit(1).alias("one"))
+    keyed = _by_key(dated, {"day": "day", "customer": "customer_id"}, ["total_price", "one"])
+    per_key = keyed.groupBy("kind", "key").agg(F.sum("one").alias("n"), F.sum("total_price").alias("value"))
+    known, is_day = F.col("key").isNotNull(), F.col("kind") == "day"
+    day = F.when(is_day, F.col("key").cast("date"))
+    return per_key.agg(
         F.sum("n").alias("total_orders"),
-        F.count("day").alias("days"),
-        F.min("day").alias("first_date"),
-        F.max("day").alias("last_date"),
+        F.count_if(is_day & known).alias("days"),
+        F.min(day).alias("first_date"),
+        F.max(day).alias("last_date"),
         F.sum("value").alias("total_revenue"),
-    ).withColumn("unique_customers", customers.scalar())
+        F.count_if(~is_day & known).alias("unique_customers"),
+    )
 
 
 def utm_totals(utm: DataFrame) -> DataFrame:
@@ -346,17 +366,19 @@ def utm_totals(utm: DataFrame) -> DataFrame:
 
 
 def shop_verify(shop: DataFrame) -> DataFrame:
-    per_order = shop.groupBy("order_id").agg(
-        F.count("*").alias("n"), *[F.sum(c).alias(c) for c in ("order_value", "order_net_value")]
-    )
-    customers = shop.agg(F.count_distinct("customer_id"))
-    return per_order.agg(
+    values = ["order_value", "order_net_value", "one"]
+    narrow = shop.select("order_id", "customer_id", "order_value", "order_net_value", F.lit(1).alias("one"))
+    keyed = _by_key(narrow, {"order": "order_id", "customer": "customer_id"}, values)
+    per_key = keyed.groupBy("kind", "key").agg(*[F.sum(c).alias(c) for c in values])
+    distinct = lambda kind: F.count_if((F.col("kind") == kind) & F.col("key").isNotNull())
+    return per_key.agg(
         F.lit("shopify_unified").alias("table_name"),
-        F.sum("n").alias("row_count"),
-        F.count("order_id").alias("unique_orders"),
+        F.sum("one").alias("row_count"),
+        distinct("order").alias("unique_orders"),
         F.sum("order_value").alias("total_gmv"),
         F.sum("order_net_value").alias("total_net_gmv"),
-    ).withColumn("unique_customers", customers.scalar())
+        distinct("customer").alias("unique_customers"),
+    )
 
 
 # ---------------------------------------------------------------------------- segments

@@ -19,8 +19,6 @@ def local_session(cpus: int | None = None, app: str = "martlet") -> SparkSession
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Order lists hold few, short values; the default of 128 keys would sort all of them.
-        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "10000")
         # Recording a call site for every column costs more than planning does.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -14,33 +15,12 @@ def read_table(spark: SparkSession, folder: str, name: str, schema: StructType |
     return reader.parquet(f"{folder}/{name}.parquet")
 
 
-def spread_small(df: DataFrame, floor: int = 1 << 20) -> DataFrame:
-    """Spread a table that fits in one scan split over all cores.
-
-    Such a table is often a single row group and would be worked on by a single task.
-    Larger tables are left alone: their scan already has a task per split, and they are
-    never shuffled here. Rows are spread by the first column, which names them. The size
-    is the one the scan has listed already.
-    """
-    spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    limit = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    if not floor <= size <= limit:
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
-
-
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> DataFrame:
     """Create or replace a table and return it as read back. `path` must not feed `df`."""
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def save_as_table(df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame:
-    df.write.mode(mode).saveAsTable(name)
-    return df.sparkSession.table(name)
-
-
 def register_view(df: DataFrame, name: str, alias: Mapping[str, str] | None = None) -> DataFrame:
     """Create or replace a view; `alias` maps published column names to those of `df`."""
     if alias:
@@ -55,47 +35,61 @@ def stage_with_schema(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
 
 
 def sync_write(df: DataFrame, path: str, cursor: str | None = None) -> DataFrame:
-    """Write as a sync does: with a cursor only rows beyond the stored maximum are appended,
-    without one the table is replaced (small metadata tables)."""
+    """Write as a sync does: with a cursor whatever is not stored yet is appended, without one the table is replaced.
+
+    A row is stored if an equal one is. Late and revised rows, and rows at the stored maximum, are
+    appended like any other, so nothing is lost; `dedup_latest` takes the latest version on reading. Of the stored
+    rows only those from the lowest arriving cursor on are read for the comparison.
+    """
     spark = df.sparkSession
     if cursor is None:
         return write_table(df, path)
-    if _exists(spark, path):
-        stored = spark.read.parquet(path).agg(F.max(cursor)).first()[0]
-        if stored is not None:
-            df = df.filter(F.col(cursor) > F.lit(stored).cast(df.schema[cursor].dataType))
+    stored = stored_table(spark, path)
+    if stored is not None:
+        lowest = df.agg(F.min(cursor)).first()[0]
+        within = F.col(cursor).isNull()
+        if lowest is not None:
+            within = within | (F.col(cursor) >= F.lit(lowest).cast(df.schema[cursor].dataType))
+        same = [F.col(f"new.`{c}`").eqNullSafe(F.col(f"old.`{c}`")) for c in df.columns]
+        df = df.alias("new").join(stored.filter(within).alias("old"), same, "left_anti")
     df.write.mode("append").parquet(path)
     return spark.read.parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at `path`, or None if there is none yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 # -------------------------------------------------------------------------- catalogue
-def table_stats(tables: Mapping[str, DataFrame], name_like: str | None = None) -> DataFrame:
-    """Per table: rows, files, megabytes, first and last file time, from file metadata.
-
-    Rows are grouped per file before tables are put together, so what crosses the
-    shuffle is one row per file.
-    """
+def table_files(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """Every file of the tables at `paths`, also those without rows, with size and time; contents are not read."""
     out = None
-    for name, df in tables.items():
-        per_file = df.groupBy(
-            F.col("_metadata.file_path").alias("f"),
-            F.col("_metadata.file_size").alias("size"),
-            F.col("_metadata.file_modification_time").alias("t"),
-        ).agg(F.count("*").alias("n"))
-        one = per_file.agg(
-            F.lit(name).alias("table_name"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-            F.count("*").alias("files"),
-            (F.coalesce(F.sum("size"), F.lit(0)) / (1024 * 1024)).alias("size_mb"),
-            F.min("t").alias("created_at"),
-            F.max("t").alias("last_modified_at"),
-        )
+    for name, path in paths.items():
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+        one = files.select(F.lit(name).alias("table_name"), "path", F.col("length").alias("size"), F.col("modificationTime").alias("t"))
         out = one if out is None else out.unionByName(one)
+    return out
+
+
+def table_stats(spark: SparkSession, paths: Mapping[str, str], name_like: str | None = None) -> DataFrame:
+    """Per table: rows, files, megabytes, first and last file time. A table or file without rows is listed too."""
+    counts = None
+    for name, path in paths.items():
+        one = spark.read.parquet(path).agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"))
+        counts = one if counts is None else counts.unionByName(one)
+    files = table_files(spark, paths).groupBy("table_name").agg(
+        F.count("*").alias("files"),
+        (F.sum("size") / (1024 * 1024)).alias("size_mb"),
+        F.min("t").alias("created_at"),
+        F.max("t").alias("last_modified_at"),
+    )
+    out = counts.join(files, "table_name", "left")
     return out if name_like is None else out.filter(F.col("table_name").like(name_like))
 
 
@@ -138,11 +132,15 @@ def preview(df: DataFrame, n: int = 100, order: Sequence[Column | str] = ()) ->
     return (df.orderBy(*order) if order else df).limit(n)
 
 
-def run_sql(spark: SparkSession, text: str, max_rows: int = 1000) -> tuple[DataFrame, bool]:
-    """Ad-hoc SQL with a row cap; the flag says whether the cap cut anything off."""
-    found = spark.sql(text)
-    truncated = found.limit(max_rows + 1).count() > max_rows
-    return found.limit(max_rows), truncated
+def run_sql(spark: SparkSession, text: str, max_rows: int = 1000) -> DataFrame:
+    """Ad-hoc SQL with a row cap; the column `truncated` says on each row whether the cap cut anything off.
+
+    The statement runs once: one row beyond the cap is fetched, and only those rows are counted.
+    """
+    some = spark.sql(text).limit(max_rows + 1)
+    whole = Window.partitionBy()
+    numbered = some.withColumns({"_n": F.count("*").over(whole), "_k": F.row_number().over(whole.orderBy(F.lit(0)))})
+    return numbered.filter(F.col("_k") <= max_rows).withColumn("truncated", F.col("_n") > max_rows).drop("_n", "_k")
 
 
 # ---------------------------------------------------------------------------- exports
@@ -152,15 +150,20 @@ def export_csv(df: DataFrame, path: str, max_rows: int | None = None) -> None:
 
 
 def action_items(results: DataFrame) -> DataFrame:
-    """Findings that need someone, worst first."""
-    from martlet.operators.checks import severity
+    """Findings that need someone, worst first, with cause, impact and action."""
+    from martlet.operators.checks import severity, with_advice
 
     rank = severity(F.col("status"))
-    return results.filter(rank <= 3).orderBy(rank, "check_name", "table_name")
+    return with_advice(results.filter(rank <= 3)).orderBy(rank, "check_name", "table_name")
 
 
-def export_results(results: DataFrame, path: str) -> None:
-    """Check results as JSON and CSV, and the action items on their own."""
+def export_results(results: DataFrame, path: str) -> DataFrame:
+    """Check results as JSON and CSV, and the action items on their own; returns the results as written.
+
+    The checks run once, for the JSON; the other files are made from it.
+    """
     results.write.mode("overwrite").json(f"{path}/checks.json")
-    export_csv(results.withColumn("details", F.to_json("details")), f"{path}/checks.csv")
-    action_items(results).write.mode("overwrite").json(f"{path}/action_items.json")
+    written = results.sparkSession.read.schema(results.schema).json(f"{path}/checks.json")
+    export_csv(written.withColumn("details", F.to_json("details")), f"{path}/checks.csv")
+    action_items(written).write.mode("overwrite").json(f"{path}/action_items.json")
+    return written

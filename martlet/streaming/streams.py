@@ -2,11 +2,16 @@
 
 Sinks, checkpoints and state live in a folder all executors share. Every sink is
 idempotent per micro-batch, so a batch that is run again after a loss leaves no trace.
+
+Nothing depends on how files fall into micro-batches, nor on their order: there is no watermark
+that would drop late rows. Each batch logs what it has, already aggregated, and readers put the batches together.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,17 +21,22 @@ from martlet.functions import json_decimal, json_long
 from martlet.operators import pii
 from martlet.operators.dedup import dedup_latest
 from martlet.operators.monitor import sync_status
+from martlet.sources.tables import stored_table
+
+Shape = Callable[[DataFrame], DataFrame]
 
 
 def read_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
     """Files of one table as a stream; `max_files` bounds a micro-batch when a backlog is large.
 
-    The trailing star lets a table be a folder of files or a single file.
+    A table is a folder of files or a single file. A stream takes patterns only, so the last letter of the
+    path is given as a pattern for itself: it names this path and no neighbour that starts alike.
     """
     reader = spark.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(f"{path}*")
+    path = path.rstrip("/")
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def _drain(writer: DataStreamWriter, checkpoint: str) -> None:
@@ -44,21 +54,67 @@ def append_stream(stream: DataFrame, folder: str, partition_by: Sequence[str] =
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/data")
 
 
-def _log_batches(
-    stream: DataFrame, folder: str, mode: str, shape: Callable[[DataFrame], DataFrame] = lambda df: df
-) -> DataFrame:
-    """Write each micro-batch to its own `batch_id=<n>` folder; a repeated batch replaces itself."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        shape(batch).write.mode("overwrite").parquet(f"{folder}/data/batch_id={batch_id}")
-
-    _drain(stream.writeStream.outputMode(mode).foreachBatch(write), f"{folder}/checkpoint")
-    return stream.sparkSession.read.parquet(f"{folder}/data")
+@dataclass
+class BatchLog:
+    """A log of micro-batches, each in a `batch_id=<n>` folder of its own; a repeated batch replaces itself.
 
+    shape: what a batch logs of its rows. merge: rows of any batches to one current row per key, in the
+    same columns, so that merging merged rows again changes nothing. `compact` folds the log into one
+    table; readers take the newest such table and the batches after it.
+    """
 
-def _event_time(c: str) -> Column:
-    """Watermarks need a zoned timestamp; extracts carry zone-free ones, read here in the session's zone."""
-    return F.col(c).cast("timestamp")
+    spark: SparkSession
+    folder: str
+    shape: Shape
+    merge: Shape
+
+    def take(self, stream: DataFrame) -> DataFrame:
+        """Log everything that has arrived and give the current rows."""
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            self.shape(batch).write.mode("overwrite").parquet(f"{self.folder}/data/batch_id={batch_id}")
+
+        _drain(stream.writeStream.outputMode("append").foreachBatch(write), f"{self.folder}/checkpoint")
+        found = self.read()
+        return self.merge(self.shape(self.spark.createDataFrame([], stream.schema))) if found is None else found
+
+    def read(self) -> DataFrame | None:
+        """Current rows, or None before the first batch."""
+        logged = stored_table(self.spark, f"{self.folder}/data")
+        if logged is None:
+            return None
+        upto, table = self._compacted()
+        newer = logged.filter(F.col("batch_id") > upto).drop("batch_id")
+        return self.merge(newer if table is None else newer.unionByName(table))
+
+    def compact(self) -> None:
+        """Fold all batches so far into one table. It counts from the moment its name is on the list, not before."""
+        logged = stored_table(self.spark, f"{self.folder}/data")
+        if logged is None:
+            return
+        upto, name = logged.agg(F.max("batch_id")).first()[0], uuid.uuid4().hex
+        done, table = self._compacted()
+        part = logged.filter((F.col("batch_id") > done) & (F.col("batch_id") <= upto)).drop("batch_id")
+        self.merge(part if table is None else part.unionByName(table)).write.parquet(f"{self.folder}/tables/{name}")
+        entry = self.spark.createDataFrame([(int(upto), name)], "upto long, name string")
+        entry.coalesce(1).write.mode("append").parquet(f"{self.folder}/list")
+
+    def _compacted(self) -> tuple[int, DataFrame | None]:
+        listed = stored_table(self.spark, f"{self.folder}/list")
+        newest = None if listed is None else listed.orderBy(F.col("upto").desc(), "name").first()
+        if newest is None:
+            return -1, None
+        return newest.upto, self.spark.read.parquet(f"{self.folder}/tables/{newest.name}")
+
+
+def totals(folder: str, spark: SparkSession, keys: Sequence[Column], names: Sequence[str], sums: dict[str, Column]) -> BatchLog:
+    """Log of sums per key: each batch adds up its own rows, readers add up the batches."""
+    return BatchLog(
+        spark,
+        folder,
+        lambda df: df.groupBy(*[k.alias(n) for k, n in zip(keys, names)]).agg(*[F.sum(c).alias(n) for n, c in sums.items()]),
+        lambda df: df.groupBy(*names).agg(*[F.sum(n).alias(n) for n in sums]),
+    )
 
 
 # ------------------------------------------------------------------------------ jobs
@@ -68,75 +124,75 @@ def hash_on_arrival(orders: DataFrame, clear: Sequence[str] = ("email", "contact
     return pii.nullify_pii(pii.hash_missing(fresh, "email", "email_hash"), clear, "email_hash")
 
 
-def first_wins(
-    stream: DataFrame, keys: Sequence[str], ts: str, delay: str = "28 days", salts: int = 32
-) -> DataFrame:
-    """Drop repeats that arrive within the look-back; state is kept no longer than that.
+def upserts(
+    spark: SparkSession, folder: str, keys: Sequence[str | Column], version: Sequence[str], ties: Sequence[str] = ()
+) -> BatchLog:
+    """Log of the latest row per key: each batch keeps its own latest, readers the latest over all batches.
 
-    A stateful dedup shuffles every row to its key's task. A first pass over key and salt
-    lets at most `salts` rows of a key through, so a hot key is worked off by many tasks.
+    No key is held in state, so a version may come as late as it likes. `version` and `ties` should order
+    the rows of a key fully; then the result is the same for any batches.
     """
-    salt = F.pmod(F.xxhash64(*stream.columns), F.lit(salts))
-    timed = stream.withColumn("_salt", salt).withColumn("_event_time", _event_time(ts))
-    salted = timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([*keys, "_salt"])
-    return salted.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time", "_salt")
+    latest = lambda df: dedup_latest(df, keys, version, ties)
+    return BatchLog(spark, folder, latest, latest)
 
 
 def latest_wins(
     stream: DataFrame, folder: str, keys: Sequence[str | Column], version: Sequence[str], ties: Sequence[str] = ()
 ) -> DataFrame:
-    """Upsert: each batch keeps its own latest rows, readers take the latest over all batches.
+    return upserts(stream.sparkSession, folder, keys, version, ties).take(stream)
 
-    No key is held in state, so the look-back is unlimited. `compact` folds the batches
-    into one table when there are many.
-    """
-    logged = _log_batches(stream, folder, "append", lambda df: dedup_latest(df, keys, version, ties))
-    return dedup_latest(logged, keys, version, [*ties, "batch_id"]).drop("batch_id")
 
+def first_wins(stream: DataFrame, folder: str, keys: Sequence[str], ts: str, ties: Sequence[str] = ()) -> DataFrame:
+    """The earliest row per key, by `ts` and then `ties`, over all that has arrived.
 
-def compact(latest: DataFrame, path: str) -> DataFrame:
-    """Write the current state of an upsert log as one table, to a new path."""
-    latest.write.mode("overwrite").parquet(path)
-    return latest.sparkSession.read.parquet(path)
+    Rows are told apart by their content, not by their arrival, so a row that comes late but is earlier takes
+    its place. A key with very many rows costs one row per task, as in any dedup here.
+    """
+    order = [F.col(c).asc() for c in (ts, *ties)]
 
+    def earliest(df: DataFrame) -> DataFrame:
+        return dedup_latest(df, keys, [], order_by=order)
 
-def running_totals(aggregated: DataFrame, folder: str, keys: Sequence[str]) -> DataFrame:
-    """Current value of a streaming aggregate: each batch logs the groups it changed, the last one counts."""
-    logged = _log_batches(aggregated, folder, "update")
-    return dedup_latest(logged, keys, ["batch_id"]).drop("batch_id")
+    return BatchLog(stream.sparkSession, folder, earliest, earliest).take(stream)
 
 
-def hourly_ads(reports: DataFrame, delay: str = "7 days") -> DataFrame:
-    """Spend, impressions and clicks per hour, open to reports up to `delay` late."""
-    return (
-        reports.withColumn("_event_time", _event_time("stat_time_day"))
-        .withWatermark("_event_time", delay)
-        .groupBy(F.window("_event_time", "1 hour").alias("w"))
-        .agg(
-            F.sum(json_decimal("metrics", "$.spend")).alias("spend"),
-            F.sum(json_long("metrics", "$.impressions")).alias("impressions"),
-            F.sum(json_long("metrics", "$.clicks")).alias("clicks"),
-        )
-        .select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "spend", "impressions", "clicks")
-    )
+def hourly_ads(reports: DataFrame, folder: str) -> DataFrame:
+    """Spend, impressions and clicks per hour, open to reports of any age."""
+    sums = {
+        "spend": json_decimal("metrics", "$.spend"),
+        "impressions": json_long("metrics", "$.impressions"),
+        "clicks": json_long("metrics", "$.clicks"),
+    }
+    hour = F.date_trunc("hour", "stat_time_day").cast("timestamp_ntz")
+    return totals(folder, reports.sparkSession, [hour], ["hour"], sums).take(reports)
 
 
 FUNNEL = ("page_view", "view_item", "add_to_cart", "purchase")
 
 
-def event_funnel(events: DataFrame, width: str = "1 hour", delay: str = "1 day") -> DataFrame:
-    """Funnel steps per tumbling window; users are an estimate, their exact set would grow without bound."""
+def event_funnel(events: DataFrame, folder: str) -> DataFrame:
+    """Funnel steps per hour: events and users.
+
+    The log has a row per hour, step and user, so users are counted exactly and in bounded memory, however
+    their events fall into batches.
+    """
+    steps = events.filter(F.col("event_name").isin(*FUNNEL))
+    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    names = ["window_start", "event_name", "user_pseudo_id"]
+    log = totals(folder, events.sparkSession, [hour, *map(F.col, names[1:])], names, {"event_count": F.lit(1)})
     return (
-        events.filter(F.col("event_name").isin(*FUNNEL))
-        .withColumn("_event_time", _event_time("ts"))
-        .withWatermark("_event_time", delay)
-        .groupBy(F.window("_event_time", width).alias("w"), "event_name")
-        .agg(F.count("*").alias("event_count"), F.approx_count_distinct("user_pseudo_id").alias("approx_users"))
-        .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "event_name", "event_count", "approx_users")
+        log.take(steps)
+        .groupBy("window_start", "event_name")
+        .agg(F.sum("event_count").alias("event_count"), F.count("user_pseudo_id").alias("users"))
     )
 
 
 def source_freshness(events: DataFrame, folder: str, source: str, ts: str, as_of) -> DataFrame:
     """Latest event time per source after each batch, in the bands of the sync status."""
-    newest = events.groupBy(F.col(source).alias("source")).agg(F.max(ts).alias("last_sync"))
-    return sync_status(running_totals(newest, folder, ["source"]), as_of)
+    log = BatchLog(
+        events.sparkSession,
+        folder,
+        lambda df: df.groupBy(F.col(source).alias("source")).agg(F.max(ts).alias("last_sync")),
+        lambda df: df.groupBy("source").agg(F.max("last_sync").alias("last_sync")),
+    )
+    return sync_status(log.take(events), as_of)

@@ -1,4 +1,7 @@
 import datetime as dt
+import os
+import pathlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,9 +97,8 @@ def test_sync_write_appends_only_new_rows(spark, tmp_path):
 
 def test_run_sql_says_when_it_cut(spark):
     spark.range(5).createOrReplaceTempView("five")
-    assert tables.run_sql(spark, "SELECT * FROM five", 5)[1] is False
-    found, cut = tables.run_sql(spark, "SELECT * FROM five", 4)
-    assert cut and found.count() == 4
+    assert [r.truncated for r in tables.run_sql(spark, "SELECT * FROM five", 5).collect()] == [False] * 5
+    assert [r.truncated for r in tables.run_sql(spark, "SELECT * FROM five", 4).collect()] == [True] * 4
 
 
 def test_results_export_orders_actions(spark, tmp_path):
@@ -106,17 +108,42 @@ def test_results_export_orders_actions(spark, tmp_path):
     )
     results = quality.to_results(flat, "v", 1.0, 5.0)
     assert [r.check_name for r in tables.action_items(results).collect()] == ["c", "a", "d"]
+    stale = tables.action_items(results.withColumn("check_name", F.lit("Data Freshness"))).first()
+    assert stale.cause and stale.impact and stale.action
     tables.export_results(results, str(tmp_path))
     assert spark.read.json(str(tmp_path / "checks.json")).count() == 4
     assert spark.read.option("header", True).csv(str(tmp_path / "checks.csv")).count() == 4
 
 
-def test_small_tables_are_spread_large_ones_not(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(1000).coalesce(1).write.parquet(path)
-    df = spark.read.parquet(path)
-    assert "Exchange" in tables.spread_small(df, floor=0)._jdf.queryExecution().executedPlan().toString()
-    assert tables.spread_small(df) is df
+def test_sync_write_loses_no_late_row(spark, tmp_path):
+    path, kind = str(tmp_path / "t"), "id string, c int"
+    tables.sync_write(spark.createDataFrame([("a", 10), ("b", 20)], kind), path, "c")
+    later = spark.createDataFrame([("b", 20), ("c", 20), ("d", 15), ("e", 30), ("f", None), (None, 5)], kind)
+    for _ in range(2):
+        got = tables.sync_write(later, path, "c").collect()
+        assert sorted(map(str, got)) == sorted(map(str, later.collect() + [spark.createDataFrame([("a", 10)], kind).first()]))
+
+
+def test_table_stats_list_files_without_rows(spark, tmp_path):
+    full, empty = str(tmp_path / "full"), str(tmp_path / "empty")
+    spark.range(10).repartition(3).write.parquet(full)
+    spark.range(0).coalesce(1).write.parquet(empty)
+    got = {r.table_name: r for r in tables.table_stats(spark, {"full": full, "empty": empty}).collect()}
+    sizes = {n: [f.stat().st_size for f in (tmp_path / n).glob("*.parquet")] for n in ("full", "empty")}
+    for name, rows in (("full", 10), ("empty", 0)):
+        r = got[name]
+        assert (r.row_count, r.files, r.size_mb) == (rows, len(sizes[name]), sum(sizes[name]) / (1 << 20))
+        assert r.created_at <= r.last_modified_at
+    assert got["empty"].files == 1
+    assert [r.table_name for r in tables.table_stats(spark, {"full": full, "empty": empty}, "f%").collect()] == ["full"]
+
+
+def test_baseline_is_the_last_scan(spark, tmp_path):
+    kind = "table_name string, row_count long, created_at timestamp_ntz"
+    scan = lambda n: spark.createDataFrame([("a", n, T)], kind)
+    monitor.baseline_snapshot(scan(1), "2024-01-02 00:00:00", str(tmp_path / "b"))
+    assert monitor.baseline_snapshot(scan(2), "2024-01-01 00:00:00", str(tmp_path / "b")).first().row_count == 1
+    assert monitor.baseline_snapshot(scan(3), "2024-01-03 00:00:00", str(tmp_path / "b")).first().row_count == 3
 
 
 def test_shared_folder_comes_from_the_session(spark):
@@ -143,30 +170,59 @@ def test_stream_upsert_takes_late_versions(spark, tmp_path):
     assert run() == sorted((r.k, r.v) for r in dedup.dedup_latest(every, ["k"], ["v"]).collect())
 
 
-def test_stream_first_wins_and_incremental_append(spark, tmp_path):
+def split_stream(spark, rows, kind, folder, order, max_files):
+    """The same rows as one file or as several that arrive in a given order, a batch each."""
+    for n, i in enumerate(order):
+        part = rows[i :: len(order)]
+        spark.createDataFrame(part, kind).coalesce(1).write.parquet(f"{folder}/{n}.parquet")
+        for f in pathlib.Path(f"{folder}/{n}.parquet").glob("part-*"):  # the stream takes files by their time
+            os.utime(f, (1_700_000_000 + n, 1_700_000_000 + n))
+    reader = spark.readStream.schema(kind)
+    return (reader.option("maxFilesPerTrigger", 1) if max_files else reader).parquet(f"{folder}/*.parquet")
+
+
+ADS = "ad_id long, stat_time_day timestamp_ntz, metrics string, tie1 long"
+CLICKS = "event_name string, ts timestamp_ntz, user_pseudo_id long"
+
+
+@pytest.mark.parametrize("order", [(3, 2, 1, 0), (0, 1, 2, 3), (2, 0, 3, 1)])
+def test_streams_do_not_depend_on_batches(spark, tmp_path, order):
+    day = lambda i: dt.datetime(2024, 1, 1) + dt.timedelta(days=i % 200, minutes=i * 7 % 1440)
+    ads = sorted((i % 9, day(i), '{"spend":"%d.5","impressions":"3","clicks":"1"}' % i, i) for i in range(200))
+    clicks = [(streams.FUNNEL[i % 4] if i % 5 else "other", day(i // 6), i % 17 if i % 11 else None) for i in range(300)]
+    jobs = {
+        "first": (ads, ADS, lambda s, out: streams.first_wins(s, out, ["ad_id"], "stat_time_day", ["tie1"])),
+        "latest": (ads, ADS, lambda s, out: streams.latest_wins(s, out, ["ad_id"], ["stat_time_day"], ["tie1"])),
+        "hourly": (ads, ADS, streams.hourly_ads),
+        "funnel": (clicks, CLICKS, streams.event_funnel),
+        "freshness": (clicks, CLICKS, lambda s, out: streams.source_freshness(s, out, "event_name", "ts", NOW)),
+        "append": (clicks, CLICKS, streams.append_stream),
+    }
+    for name, (rows, kind, job) in jobs.items():
+        once = job(split_stream(spark, rows, kind, f"{tmp_path}/{name}-one", (0,), False), f"{tmp_path}/{name}-out1").collect()
+        parts = job(split_stream(spark, rows, kind, f"{tmp_path}/{name}-four", order, True), f"{tmp_path}/{name}-out4").collect()
+        assert Counter(map(str, once)) == Counter(map(str, parts)) and once, name
+
+
+def test_stream_reads_its_own_path_only(spark, tmp_path):
+    spark.range(5).write.parquet(f"{tmp_path}/t.parquet")
+    spark.range(7).write.parquet(f"{tmp_path}/t.parquet_old")
+    stream = streams.read_stream(spark, f"{tmp_path}/t.parquet", "id long")
+    assert streams.append_stream(stream, f"{tmp_path}/out").count() == 5
+
+
+def test_stream_log_is_compacted(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    log = streams.upserts(spark, out, ["k"], ["v"])
+    stream = lambda: spark.readStream.schema(SCHEMA).parquet(f"{src}/*.parquet")
+    rows = lambda df: sorted((r.k, r.v) for r in df.collect())
     land(spark, src, "a", (1, 1, T), (2, 1, T))
-    stream = lambda: streams.first_wins(spark.readStream.schema(SCHEMA).parquet(f"{src}/*.parquet"), ["k"], "ts")
-    assert streams.append_stream(stream(), out).count() == 2
-    land(spark, src, "b", (1, 9, T), (3, 1, T))
-    got = streams.append_stream(stream(), out).collect()
-    assert sorted((r.k, r.v) for r in got) == [(1, 1), (2, 1), (3, 1)]
-
-
-def test_stream_totals_follow_late_rows(spark, tmp_path):
-    src, out = str(tmp_path / "in"), str(tmp_path / "out")
-    kind = "stat_time_day timestamp_ntz, metrics string"
-    put = lambda name, *rows: spark.createDataFrame(rows, kind).coalesce(1).write.parquet(f"{src}/{name}.parquet")
-    one = '{"spend":"1.50","impressions":"10","clicks":"1"}'
-    run = lambda: [
-        (r.hour, float(r.spend), r.clicks)
-        for r in streams.running_totals(
-            streams.hourly_ads(spark.readStream.schema(kind).parquet(f"{src}/*.parquet")), out, ["hour"]
-        )
-        .orderBy("hour")
-        .collect()
-    ]
-    put("a", (T, one), (T + dt.timedelta(minutes=59), one))
-    assert run() == [(T, 3.0, 2)]
-    put("b", (T, one), (T + dt.timedelta(hours=1), one))
-    assert run() == [(T, 4.5, 3), (T + dt.timedelta(hours=1), 1.5, 1)]
+    assert log.read() is None
+    log.compact()
+    assert rows(log.take(stream())) == [(1, 1), (2, 1)]
+    log.compact()
+    land(spark, src, "b", (1, 2, T), (3, 1, T))
+    assert rows(log.take(stream())) == [(1, 2), (2, 1), (3, 1)]
+    log.compact()
+    assert rows(log.read()) == [(1, 2), (2, 1), (3, 1)]
+    assert all("batch_id" not in f for f in log.read().inputFiles() if "/tables/" in f) and any("/tables/" in f for f in log.read().inputFiles())

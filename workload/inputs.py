@@ -7,6 +7,7 @@ over every row. `oracle_views.py` holds the same mapping as DuckDB SQL.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from martlet.functions import as_timestamp, json_decimal, json_long, money
 from martlet.operators import conform, dedup, pii, unify
 from martlet.plans import commerce, marketing
+from martlet.session import shared_folder
 from martlet.sources import tables
 
 # Dates every report is asked for; the jobs never look at the clock.
@@ -55,10 +57,17 @@ class Inputs:
         return self._tables[name]
 
     def _read(self, name: str) -> DataFrame:
-        df = tables.read_table(self.spark, self.sf_dir, name)
-        if name in ("lineitem", "orders", "events"):
-            df = tables.spread_small(df)
-        return df
+        return tables.read_table(self.spark, self.sf_dir, name)
+
+    def land(self, *names: str) -> list[DataFrame]:
+        """Layers written once and read back, for queries that use them more than once.
+
+        Layers asked for later, also in this call, build on the landed ones.
+        """
+        for name in names:
+            folder = f"{shared_folder(self.spark)}/layer-{name}-{uuid.uuid4().hex}"
+            self.__dict__[name] = tables.write_table(getattr(self, name), folder)
+        return [getattr(self, name) for name in names]
 
     # ------------------------------------------------------------ shop extracts
     @staticmethod
@@ -436,9 +445,8 @@ class Inputs:
     def campaigns(self) -> DataFrame:
         return (
             self.table("supplier")
-            .filter(F.col("s_acctbal") >= 0)
             .select(
-                F.col("s_suppkey").alias("campaign_id"),
+                F.when(F.col("s_acctbal") >= 0, F.col("s_suppkey")).otherwise(-F.col("s_suppkey")).alias("campaign_id"),
                 F.col("s_name").alias("campaign_name"),
                 F.when(F.col("s_nationkey") % 3 == 0, "PAUSED").otherwise("ENABLED").alias("campaign_status"),
             )
@@ -536,10 +544,11 @@ class Inputs:
         )
 
     def hourly_tables(self, since: str, until: str) -> DataFrame:
-        """Catalogue of hourly event tables as a scan at `until` sees it."""
-        e = self.web_events.filter((F.col("ts") >= as_timestamp(since)) & (F.col("ts") < as_timestamp(until)))
+        """Catalogue of hourly event tables as a scan at `until` sees it; tables from before `since` were renamed."""
+        e = self.web_events.filter(F.col("ts") < as_timestamp(until))
+        kept = F.when(F.col("ts") >= as_timestamp(since), "").otherwise("archive_")
         return e.groupBy(
-            cat(F.col("event_name"), "_", F.date_format("ts", "yyyyMMddHH")).alias("table_name")
+            cat(kept, F.col("event_name"), "_", F.date_format("ts", "yyyyMMddHH")).alias("table_name")
         ).agg(
             F.count_if(F.col("value") >= 20).alias("row_count"),
             F.min("ts").alias("created_at"),

@@ -304,9 +304,9 @@ view(
 view(
     "tables_now",
     """
-SELECT event_name || '_' || strftime(ts, '%Y%m%d%H') AS table_name, count(*) FILTER (value >= 20) AS row_count,
-  min(ts) AS created_at, max(ts) AS last_extracted_at
-FROM web_events WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-31' GROUP BY 1
+SELECT if(ts >= TIMESTAMP '2024-01-08', '', 'archive_') || event_name || '_' || strftime(ts, '%Y%m%d%H') AS table_name,
+  count(*) FILTER (value >= 20) AS row_count, min(ts) AS created_at, max(ts) AS last_extracted_at
+FROM web_events WHERE ts < TIMESTAMP '2024-01-31' GROUP BY 1
 """,
 )
 view(

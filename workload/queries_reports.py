@@ -606,9 +606,7 @@ query(
     "unified_verify",
     lambda x: marketing.view_row_counts(
         {
-            "shopify_unified": x.shop,
-            "facebook_unified": x.facebook,
-            "tiktok_unified": x.tiktok,
+            **dict(zip(("shopify_unified", "facebook_unified", "tiktok_unified"), x.land("shop", "facebook", "tiktok"))),
             "google_ads_unified": x.google,
             "amazon_ads_unified": x.amazon,
             "marketing_unified": x.marketing,
@@ -621,12 +619,18 @@ UNION ALL SELECT 'google_ads_unified', count(*) FROM google UNION ALL SELECT 'am
 UNION ALL SELECT 'marketing_unified', count(*) FROM marketing
 """,
 )
+
+
+def daily_and_monthly(x):
+    x.land("shop", "marketing")
+    return x.daily_metrics, x.monthly
+
+
 query(
     "view_row_counts",
     lambda x: marketing.view_row_counts(
         {
-            "shopify_daily_metrics": x.daily_metrics,
-            "marketing_monthly_performance": x.monthly,
+            **dict(zip(("shopify_daily_metrics", "marketing_monthly_performance"), daily_and_monthly(x))),
             "product_performance": x.products_monthly,
             "executive_summary_monthly": marketing.executive_summary(x.marketing),
             "channel_mix": marketing.channel_mix(x.marketing, AS_OF),

@@ -167,14 +167,15 @@ SELECT date, sum(spend) FILTER (ad_source = 'facebook')::DOUBLE AS facebook_spen
 
 
 def tracked_only(x):
-    """Marketing table fed from tracked orders alone: days without a tracked sale show no revenue."""
-    tracked = x.shop.filter(F.col("first_utm_source") == "google")
-    return unify.marketing_unified(unify.shopify_daily(tracked), x.ad_spend)
+    """Marketing table in which only tracked orders have a value: days without a tracked sale show no revenue."""
+    tracked = F.coalesce(F.col("first_utm_source") == "google", F.lit(False))
+    values = {c: F.when(tracked, F.col(c)).otherwise(F.lit(0)).cast(x.shop.schema[c].dataType) for c in ("order_value", "order_net_value")}
+    return unify.marketing_unified(unify.shopify_daily(x.shop.withColumns(values)), x.ad_spend)
 
 
 query(
     "unattributed_revenue",
-    lambda x: unify.unattributed_revenue(x.shop, tracked_only(x), AS_OF, days=60),
+    lambda x: unify.unattributed_revenue(*x.land("shop"), tracked_only(x), AS_OF, days=60),
     """
 SELECT order_date AS date, sum(order_value)::DOUBLE AS total_shopify_revenue,
   CASE WHEN order_date IN (SELECT date FROM ad_days) OR count(*) FILTER (first_utm_source = 'google') > 0 THEN 0::DOUBLE END
@@ -230,8 +231,8 @@ def shifted(x):
 query(
     "date_spine_gaps",
     lambda x: unify.date_spine_gaps(
-        conform.orders_base(x.clean_orders).filter(F.col("source_name") == "tiktok"),
-        F.col("order_date"),
+        conform.orders_base(x.clean_orders),
+        F.when(F.col("source_name") == "tiktok", F.col("order_date")),
         "2000-08-01",
         AS_OF,
     ),
@@ -359,17 +360,21 @@ query(
 query(
     "batch_merge",
     lambda x: changes.batch_merge(
-        x.utm.select("order_id", "sales_channel", "extracted_at").filter(F.col("sales_channel") != "web"),
-        x.utm.filter(F.col("first_utm_source") == "google").select(
-            "order_id", F.lit("merged").alias("sales_channel"), "extracted_at"
+        x.utm.select("order_id", "sales_channel", "extracted_at"),
+        x.utm.select(
+            F.when(F.col("first_utm_source") == "google", F.col("order_id"))
+            .otherwise(F.concat(F.lit("new "), "order_id"))
+            .alias("order_id"),
+            F.lit("merged").alias("sales_channel"),
+            "extracted_at",
         ),
         "order_id",
         ["extracted_at"],
     ),
     """
-SELECT order_id, 'merged' AS sales_channel, extracted_at FROM utm WHERE first_utm_source = 'google'
-UNION ALL SELECT order_id, sales_channel, extracted_at FROM utm
-WHERE sales_channel <> 'web' AND first_utm_source IS DISTINCT FROM 'google'
+SELECT if(first_utm_source = 'google', '', 'new ') || order_id AS order_id, 'merged' AS sales_channel, extracted_at
+FROM (SELECT * REPLACE (ifnull(first_utm_source, '') AS first_utm_source) FROM utm)
+UNION ALL SELECT order_id, sales_channel, extracted_at FROM utm WHERE first_utm_source IS DISTINCT FROM 'google'
 """,
 )
 query(
