@@ -8,7 +8,7 @@ the buckets before it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.llm.common import fresh_path
@@ -34,10 +34,10 @@ def write_shards(
     text_col: str = "text",
     path: str | None = None,
 ) -> DataFrame:
-    """Write records into shards in a random but repeatable order and return what was written.
+    """Write records into shards in random order and return what was written.
 
-    The result has the columns of `docs` in one struct `record` (so no name of theirs clashes),
-    and `shard`, `slot` (gapless from 0 in each shard), `grown_shard`. It lies in one folder per shard.
+    The result has the columns of `docs` in one struct `record` (so no name of theirs clashes), and `shard`, `bucket`,
+    `place` in the bucket, `grown_shard`; `with_slots` turns bucket and place into a slot. It lies in one folder per shard.
 
     Law `key`: id and shard count decide the shard; a null id is a key like any other. Records with
     equal ids share a shard but are scattered over its buckets by text and by place in the input, so
@@ -74,37 +74,37 @@ def write_shards(
     path = path or fresh_path(spark, "shards")
     permuted.write.partitionBy("shard").parquet(path)
     kind = permuted.select("bucket", "place", "grown_shard", "record", "shard").schema
-    written = spark.read.schema(kind).parquet(path)
-    return _slots(written, shards)
+    return spark.read.schema(kind).parquet(path)
 
 
 def _by_order(a: Column, b: Column) -> Column:
     return F.when(a["order"] < b["order"], -1).when(a["order"] > b["order"], 1).otherwise(0)
 
 
-def _slots(written: DataFrame, shards: int) -> DataFrame:
-    """Slots from the buckets' sizes: rows of a shard in earlier buckets plus the place in the own one."""
-    from pyspark.sql import Window
+def with_slots(rows: DataFrame, written: DataFrame) -> DataFrame:
+    """Add `slot`, gapless from 0 in each shard, to rows with `shard`, `bucket` and `place`, and drop the last two.
 
-    before = F.coalesce(
-        F.sum("n").over(Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
+    It is the rows of earlier buckets of the shard plus the place in the own one. The rows may be any columns of what was
+    written: only they are joined with the buckets' offsets.
+    """
+    earlier = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = written.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
-    offsets = sizes.select("shard", "bucket", before.alias("before"))
-    return written.join(offsets, ["shard", "bucket"]).select(
-        "record", "shard", (F.col("before") + F.col("place")).alias("slot"), "grown_shard"
-    )
+    offsets = sizes.select("shard", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    slot = (F.col("before") + F.col("place")).cast("long").alias("slot")
+    return rows.join(offsets, ["shard", "bucket"]).select("*", slot).drop("before", "bucket", "place")
 
 
 def sharding_digest(docs: DataFrame, shards: int = 8, seed: int = 42) -> DataFrame:
     """One row per written record: where it went, and what is needed to check it."""
-    text = F.col("record.text")
-    return write_shards(docs, shards, seed).select(
+    text, written = F.col("record.text"), write_shards(docs, shards, seed)
+    rows = written.select(
         F.col("record.doc_id").alias("doc_id"),
         size_of(text).alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
         F.lit("key").alias("law"),
         F.col("shard").cast("int").alias("shard"),
-        F.col("slot").cast("long").alias("slot"),
         F.col("grown_shard").cast("int").alias("grown_shard"),
+        "bucket",
+        "place",
     )
+    return with_slots(rows, written)

@@ -4,7 +4,7 @@ A window is `width` words in a row; it is a repeat if the same words start in a
 id. Windows are dealt to reference blocks by their minimiser, the least hash among the short word runs in
 them: equal windows have equal minimisers, so each meets all its earlier copies in one block. Neighbouring
 windows with the same minimiser travel as one stretch of text. Runs that occur once in the corpus cannot be in
-a repeat, so their stretches stay at home.
+a repeat, so their stretches stay at home. A text that a smaller document has as a whole is one factor.
 
 In a block, stretches come in ascending order of document. The block's index holds the windows of all earlier
 documents. A stretch is factored greedily: the longest match with the reference at a place is a factor, found by
@@ -25,13 +25,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from martlet.llm.common import land, slices, spans_union
+from martlet.llm.tokens import ranges
 
 GRAM = 5
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _document(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text, F.lit("")))
+def _hash(text: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), F.coalesce(text, F.lit("")))
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -77,66 +78,74 @@ def minimisers(coded: pa.Array, counts: np.ndarray, width: int) -> tuple[np.ndar
 
 
 def _runs(docs: DataFrame, width: int) -> DataFrame:
-    """(m, id, h, start): every stretch of every document by its minimiser."""
+    """(m, h, start): every stretch of every document by its minimiser."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            least, text, start, _ = minimisers(*split_words(part.column(2)), width)
-            which = pa.array(text)
-            arrays = [
-                pa.array(least.view(np.int64)), part.column(0).take(which), part.column(1).take(which), pa.array(start, pa.int32())
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["m", "id", "h", "start"])
+            least, text, start, _ = minimisers(*split_words(part.column(1)), width)
+            arrays = [pa.array(least.view(np.int64)), part.column(0).take(pa.array(text)), pa.array(start, pa.int32())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["m", "h", "start"])
 
-    id_type = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"m long, id {id_type}, h long, start int")
+    return docs.select("h", "text").mapInArrow(run, "m long, h long, start int")
 
 
 def _stretches(hinted: DataFrame, width: int) -> DataFrame:
-    """Tagged rows of what documents send to blocks: (block, id, h, start, n, words).
+    """Rows that documents (id, h, text, hints) send to blocks: (block, id, h, start, n, words).
 
     Within a slice, equal stretches go out once, for their smallest document: they are repeats in all others
     there, which is said at once by a row without words. A frequent minimiser's stretches go out window by window, each
     to a block of its own text, so no block gathers all contexts of a frequent run, nor all copies of a window.
     """
+    id_type, id_arrow = hinted.schema["id"].dataType.simpleString(), to_arrow_type(hinted.schema["id"].dataType)
+    kinds = [pa.int64(), id_arrow, pa.int64(), pa.int32(), pa.int32(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             coded, counts = split_words(part.column(2))
             least, text, start, sizes = minimisers(coded, counts, width)
+            # Stretches with a hint, in ascending order of document.
+            lists = part.column(3)
+            owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            hints = lists.flatten()
+            place = owner << 32 | hints.field("start").to_numpy()
+            order = np.argsort(place)
+            place, hot = place[order], hints.field("hot").to_numpy(zero_copy_only=False)[order]
+            own = text << 32 | start
+            at = np.minimum(np.searchsorted(place, own), max(0, len(place) - 1))
+            rows = np.flatnonzero(place[at] == own) if len(place) else np.zeros(0, dtype=np.int64)
             ids, keys = part.column(0).to_pylist(), part.column(1).to_pylist()
-            hints = [{x["start"]: x["hot"] for x in hint} for hint in part.column(3).to_pylist()]
-            names = coded.dictionary.to_pylist()
-            all_words = [names[i] for i in coded.indices.to_pylist()]
-            begin = (np.cumsum(counts) - counts).tolist()
-            firsts: dict[str, tuple] = {}
-            out: list[tuple] = []
-            order = sorted(set(text.tolist()), key=lambda t: (ids[t] is None, ids[t] if ids[t] is not None else 0))
-            rows_of: dict[int, list[int]] = {t: [] for t in order}
-            for row, t in enumerate(text.tolist()):
-                rows_of[t].append(row)
-            starts, lengths, blocks = start.tolist(), sizes.tolist(), least.view(np.int64).tolist()
-            for t in order:
-                hint, doc_id, key, at = hints[t], ids[t], keys[t], begin[t]
-                for row in rows_of[t]:
-                    hot = hint.get(starts[row])
-                    if hot is None:
-                        continue
-                    first, many = starts[row], lengths[row]
-                    for s, n in [(first + i, 1) for i in range(many)] if hot else [(first, many)]:
-                        words = " ".join(all_words[at + s : at + s + n + width - 1])
-                        seen = firsts.setdefault(words, (doc_id,))
-                        if seen[0] != doc_id:
-                            out.append((key, doc_id, key, s, n, None))
-                        else:
-                            block = xxhash.xxh64_intdigest(words) - (1 << 63) if hot else blocks[row]
-                            out.append((block, doc_id, key, s, n, words))
-            columns = list(zip(*out)) if out else [[]] * 6
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+            by_id = sorted(range(len(ids)), key=lambda t: (ids[t] is None, 0 if ids[t] is None else ids[t]))
+            rank = np.empty(len(ids), dtype=np.int64)
+            rank[by_id] = np.arange(len(ids))
+            rows = rows[np.argsort(rank[text[rows]], kind="stable")]
+            # The words of the slice as one string, and where each starts in it.
+            words = " ".join(coded.to_pylist())
+            size = pc.utf8_length(coded.dictionary).to_numpy()[coded.indices.to_numpy()]
+            ends = np.cumsum(size + 1) - 1
+            first = (np.cumsum(counts) - counts)[text[rows]] + start[rows]
+            is_hot, many, source = hot[at[rows]], sizes[rows], rows
+            if is_hot.any():  # a row per window
+                times = np.where(is_hot, many, 1)
+                source, step = np.repeat(rows, times), ranges(np.zeros(len(times), dtype=np.int64), times)
+                first, many, is_hot = np.repeat(first, times) + step, np.repeat(np.where(is_hot, 1, many), times), np.repeat(is_hot, times)
+            else:
+                step = np.zeros(len(rows), dtype=np.int64)
+            begin, end = (ends[first] - size[first]).tolist(), ends[first + many + width - 2].tolist()
+            firsts: dict[str, object] = {}
+            blocks, texts = least[source].view(np.int64).tolist(), []
+            owners = text[source].tolist()
+            for row, (a, b, t) in enumerate(zip(begin, end, owners)):
+                stretch = words[a:b]
+                texts.append(stretch if firsts.setdefault(stretch, ids[t]) == ids[t] else None)
+            for row in np.flatnonzero(is_hot).tolist():
+                if texts[row] is not None:
+                    blocks[row] = xxhash.xxh64_intdigest(texts[row]) - (1 << 63)
+            which = pa.array(text[source])
+            columns = [blocks, None, None, (start[source] + step).astype(np.int32), many.astype(np.int32), texts]
+            arrays = [pa.array(c, k) if c is not None else None for c, k in zip(columns, kinds)]
+            arrays[1], arrays[2] = part.column(0).take(which), part.column(1).take(which)
             yield pa.RecordBatch.from_arrays(arrays, names=["block", "id", "h", "start", "n", "words"])
 
-    id_type, id_arrow = hinted.schema["id"].dataType.simpleString(), to_arrow_type(hinted.schema["id"].dataType)
-    kinds = [pa.int64(), id_arrow, pa.int64(), pa.int32(), pa.int32(), pa.string()]
     return hinted.mapInArrow(run, f"block long, id {id_type}, h long, start int, n int, words string")
 
 
@@ -173,8 +182,7 @@ class Reference:
 
 
 def _parse(stretches: DataFrame, width: int) -> DataFrame:
-    """Duplicate spans (id, h, start, end) of words; blocks are parsed one after another in each task."""
-    id_type = stretches.schema["id"].dataType.simpleString()
+    """Duplicate spans (h, start, end) of words; blocks are parsed one after another in each task."""
     by_block = stretches.withColumn("last", F.col("id").isNull()).repartition("block")
     sorted_blocks = by_block.sortWithinPartitions("block", "last", "id").drop("last")
 
@@ -197,25 +205,31 @@ def _parse(stretches: DataFrame, width: int) -> DataFrame:
                     starts.append(start + s)
                     ends.append(start + e)
             which = pa.array(rows, pa.int64())
-            arrays = [batch.column(1).take(which), batch.column(2).take(which), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "h", "start", "end"])
+            arrays = [batch.column(2).take(which), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["h", "start", "end"])
 
-    return sorted_blocks.mapInArrow(run, f"id {id_type}, h long, start int, end int")
+    return sorted_blocks.mapInArrow(run, "h long, start int, end int")
 
 
-def duplicate_spans(docs: DataFrame, width: int, hot: int) -> DataFrame:
-    """(id, h, spans) of documents given as (id, h, text) with anything to remove; spans may overlap."""
+def _texts(docs: DataFrame, width: int, hot: int) -> DataFrame:
+    """(h, firsts, hints) of every text: who has it first, and which of its stretches have a run that occurs again.
+
+    `h` alone names a text here: hints of two texts with one hash are looked up in both, which finds no more and no less.
+    For the rest `firsts` tells such texts apart by the second hash `g`.
+    """
     runs = _runs(docs, width)
     counts = runs.groupBy("m").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = runs.join(counts, "m").select("id", "h", F.struct("start", (F.col("n") > hot).alias("hot")).alias("hint"))
-    hints = land(shared.groupBy("id", "h").agg(F.collect_set("hint").alias("hints")), "hints")
-    hinted = docs.alias("d").join(hints.alias("x"), _same("d", "x")).select("d.id", "d.h", "d.text", "x.hints")
-    spans = _parse(_stretches(hinted, width), width)
-    return spans.groupBy("id", "h").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    shared = runs.join(counts, "m").select("h", F.struct("start", (F.col("n") > hot).alias("hot")).alias("hint"))
+    hints = shared.groupBy("h").agg(F.collect_set("hint").alias("hints"))
+    first = docs.groupBy("h", "g").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id")).alias("first"))
+    firsts = first.groupBy("h").agg(F.collect_list(F.struct("g", F.col("first.id").alias("id"))).alias("firsts"))
+    return land(firsts.join(hints, "h", "left"), "texts")
 
 
-def _same(a: str, b: str) -> Column:
-    return (F.col(f"{a}.h") == F.col(f"{b}.h")) & F.col(f"{a}.id").eqNullSafe(F.col(f"{b}.id"))
+def _is_copy() -> Column:
+    """Whether the document's whole text is in a document with a smaller id."""
+    own = F.filter("firsts", lambda x: x["g"] == F.col("g"))[0]["id"]
+    return ~own.eqNullSafe(F.col("id"))
 
 
 def dedup_substrings(
@@ -232,16 +246,23 @@ def dedup_substrings(
     hot: a minimiser with more stretches than this is dealt window by window; results do not depend on it.
     """
     text = F.col(f"`{text_col}`").cast("string")
-    held = docs.select(F.col(f"`{id_col}`").alias("id"), _document(text).alias("h"), text.alias("text"))
-    spans = duplicate_spans(held, width, hot)
-    found = held.alias("d").join(spans.alias("x"), _same("d", "x"), "left").select("d.id", "d.text", "x.spans")
+    held = docs.select(F.col(f"`{id_col}`").alias("id"), _hash(text, 0).alias("h"), _hash(text, 1).alias("g"), text.alias("text"))
+    texts = _texts(held, width, hot)
+    # Both joins need the documents by their hash; Spark deals them out once and uses that twice.
+    hinted = held.join(texts.filter("hints IS NOT NULL"), "h").filter(~_is_copy()).select("id", "h", "text", "hints")
+    spans = _parse(_stretches(hinted, width), width).groupBy("h").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    known = texts.select("h", "firsts").join(spans, "h", "left")
+    found = held.join(known, "h").select("id", "text", "spans", _is_copy().alias("copy"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             n_words, n_removed, kept_texts, removed = [], [], [], []
-            for text, spans in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
+            for text, spans, copy in zip(*(part.column(i).to_pylist() for i in (1, 2, 3))):
                 words = text.encode().split() if text else []
-                cut = np.array([(s["start"], s["end"]) for s in spans or ()], dtype=np.int64).reshape(-1, 2)
+                cut = [(s["start"], s["end"]) for s in spans or ()]
+                if copy:
+                    cut = [(0, len(words))] if len(words) >= width else []
+                cut = np.array(cut, dtype=np.int64).reshape(-1, 2)
                 starts, ends = spans_union(cut[:, 0], cut[:, 1])
                 edges = np.r_[0, np.stack([starts, ends], axis=1).reshape(-1), len(words)].tolist()
                 kept = [w for a, b in zip(edges[::2], edges[1::2]) for w in words[a:b]]

@@ -439,7 +439,8 @@ def test_substring_dedup(spark, rows, hot):
 # --------------------------------------------------------------------------- sharding
 def test_sharding(spark, rows):
     docs = table(spark, rows + [(9, "hot")] * 400)
-    got = sharding.write_shards(docs, shards=4, seed=1, bucket_bytes=500).select("record.*", "shard", "slot", "grown_shard").collect()
+    written = sharding.write_shards(docs, shards=4, seed=1, bucket_bytes=500)
+    got = sharding.with_slots(written, written).select("record.*", "shard", "slot", "grown_shard").collect()
     assert Counter((r.doc_id, r.text) for r in got) == Counter([*rows, *[(9, "hot")] * 400])
     by_shard, by_id = defaultdict(list), defaultdict(set)
     for r in got:
