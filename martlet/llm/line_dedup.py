@@ -27,10 +27,11 @@ def _place() -> Column:
 def _ranked(suffixes: DataFrame, *key: str) -> DataFrame:
     """Rank suffixes by `key`: the first place of their class. Suffixes alone in their class drop out.
 
-    A frequent line is one key of an aggregate, done before the shuffle, and of an inner join, whose skewed side Spark splits.
+    A frequent line is one key of an aggregate, done before the shuffle, and of an inner join. The classes are landed, so
+    that the join shuffles both sides itself: only then does Spark split a skewed one.
     """
     classes = suffixes.groupBy(*key).agg(F.min(_place()).alias("rank"), F.count("*").alias("n")).filter("n > 1")
-    return suffixes.join(classes.drop("n"), list(key))
+    return suffixes.join(land(classes.drop("n"), "classes"), list(key))
 
 
 def _lines(text: Column) -> Column:
