@@ -218,7 +218,8 @@ def _texts(docs: DataFrame, width: int, hot: int) -> DataFrame:
     For the rest `firsts` tells such texts apart by the second hash `g`.
     """
     runs = _runs(docs, width)
-    counts = runs.groupBy("m").agg(F.count("*").alias("n")).filter("n > 1")
+    # Landed, so that the join shuffles both sides itself: only then does Spark split a frequent run's rows.
+    counts = land(runs.groupBy("m").agg(F.count("*").alias("n")).filter("n > 1"), "runs")
     shared = runs.join(counts, "m").select("h", F.struct("start", (F.col("n") > hot).alias("hot")).alias("hint"))
     hints = shared.groupBy("h").agg(F.collect_set("hint").alias("hints"))
     first = docs.groupBy("h", "g").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id")).alias("first"))
