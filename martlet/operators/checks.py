@@ -34,9 +34,9 @@ def severity(status: Column) -> Column:
 ADVICE = {
     "Price Format": ("amounts arrive in cents, or single orders are very large", "revenue and ratios are inflated", "compare a few orders with the shop and correct the unit"),
     "Duplicate Detection": ("an extract was sent again, or versions were not merged", "sums count rows twice", "merge versions by key and load the table again"),
-    "Null Rate": ("the source stopped sending a field, or it was renamed", "joins on the field lose rows", "look at the source's schema and fill the field again"),
+    "Null Rate": ("the source stopped sending a field, or it was renamed", "joins on the field lose rows", "look at the schema of the source and fill the field again"),
     "Data Freshness": ("the sync is late or has stopped", "recent days are missing from reports", "look at the last sync job and start it again"),
-    "Record Count": ("the extract is empty", "the source is missing from reports", "look at the extract's range and credentials"),
+    "Record Count": ("the extract is empty", "the source is missing from reports", "look at the range and the credentials of the extract"),
 }
 
 

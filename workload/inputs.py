@@ -446,7 +446,7 @@ class Inputs:
         return (
             self.table("supplier")
             .select(
-                F.when(F.col("s_acctbal") >= 0, F.col("s_suppkey")).otherwise(-F.col("s_suppkey")).alias("campaign_id"),
+                F.when(F.col("s_acctbal") >= 0, F.col("s_suppkey")).otherwise(-F.col("s_suppkey") - 1).alias("campaign_id"),
                 F.col("s_name").alias("campaign_name"),
                 F.when(F.col("s_nationkey") % 3 == 0, "PAUSED").otherwise("ENABLED").alias("campaign_status"),
             )

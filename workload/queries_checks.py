@@ -479,7 +479,7 @@ WHERE day(date) = 1 AND p > 0
 def known_customers(x):
     """Customers, one segment of whom have an id that no order knows."""
     lost = F.col("tags") == "MACHINERY"
-    return x.clean_customers.withColumn("id", F.when(lost, -F.col("id")).otherwise(F.col("id")))
+    return x.clean_customers.withColumn("id", F.when(lost, -F.col("id") - 1).otherwise(F.col("id")))
 
 
 query(
@@ -701,7 +701,7 @@ WHERE created_at::DATE BETWEEN {DAY} - 16 AND {DAY} - 2
 
 def renumbered(orders, limit):
     """Ids of all orders; those up to a price came under another id."""
-    return orders.select(F.when(F.col("total_price") > limit, F.col("id")).otherwise(-F.col("id")).alias("id"))
+    return orders.select(F.when(F.col("total_price") > limit, F.col("id")).otherwise(-F.col("id") - 1).alias("id"))
 
 
 query(
@@ -713,8 +713,8 @@ query(
     ),
     """
 SELECT coalesce(a.id, b.id) AS id, if(b.id IS NULL, 'missing in warehouse', 'missing in source') AS side
-FROM (SELECT if(total_price > 1000, id, -id) AS id FROM order_history) a FULL JOIN
-  (SELECT if(total_price > 2000, id, -id) AS id FROM clean_orders) b ON a.id = b.id WHERE a.id IS NULL OR b.id IS NULL
+FROM (SELECT if(total_price > 1000, id, -id - 1) AS id FROM order_history) a FULL JOIN
+  (SELECT if(total_price > 2000, id, -id - 1) AS id FROM clean_orders) b ON a.id = b.id WHERE a.id IS NULL OR b.id IS NULL
 """,
 )
 query(

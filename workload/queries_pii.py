@@ -122,9 +122,9 @@ FROM clean_customers
 
 
 def older_lost(x):
-    """A backup in which older orders have lost their personal data."""
+    """A backup in which older orders have another id."""
     kept = F.col("created_at") >= F.lit("1998-01-01").cast("timestamp_ntz")
-    return x.order_history.withColumns({c: F.when(kept, F.col(c)) for c in ("customer_email", "customer_first_name")})
+    return x.order_history.withColumn("id", F.when(kept, F.col("id")).otherwise(-F.col("id") - 1))
 
 
 query(
@@ -296,7 +296,7 @@ SCANNED = {
 }
 SCAN_SQL = """
 SELECT '{t}' AS table_name, '{c}' AS column_name, '{k}' AS pii_type, count({c}) AS rows_with_data,
-  array_to_string(list_sort(list(left({c}, 20)) FILTER ({c} <> ''))[:3], ' | ') AS samples FROM {t}
+  array_to_string(list_sort(list(left({c}, 30)) FILTER ({c} <> ''))[:3], ' | ') AS samples FROM {t}
 """
 query(
     "pii_column_scan",

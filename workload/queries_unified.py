@@ -178,8 +178,7 @@ query(
     lambda x: unify.unattributed_revenue(*x.land("shop"), tracked_only(x), AS_OF, days=60),
     """
 SELECT order_date AS date, sum(order_value)::DOUBLE AS total_shopify_revenue,
-  CASE WHEN order_date IN (SELECT date FROM ad_days) OR count(*) FILTER (first_utm_source = 'google') > 0 THEN 0::DOUBLE END
-    AS total_marketing_revenue,
+  0::DOUBLE AS total_marketing_revenue,
   sum(order_value)::DOUBLE AS unattributed_revenue
 FROM shop WHERE order_date >= DATE '2001-08-01' - 60 GROUP BY 1
 HAVING sum(order_value) > 0 AND ifnull(sum(order_value) FILTER (first_utm_source = 'google'), 0) = 0
