@@ -55,20 +55,16 @@ def best_cuts(places: np.ndarray, penalties: np.ndarray, length: int) -> np.ndar
 
 
 def candidate_cuts(ids: np.ndarray, doc_ends: np.ndarray, ends_sentence: np.ndarray, length: int, sentence: float, inside: float):
-    """Places to cut and their penalties: document ends, sentence ends, and a grid where those lie far apart."""
-    after = np.flatnonzero(ends_sentence[ids]) + 1
-    places = np.unique(np.r_[0, after, doc_ends, len(ids)])
-    step = max(1, length // 16)
-    gaps = np.diff(places)
-    wide = gaps > length // 4
-    if wide.any():
-        grid = [np.arange(a + step, b, step) for a, b in zip(places[:-1][wide], places[1:][wide])]
-        places = np.unique(np.concatenate([places, *grid]))
-    penalties = np.full(len(places), inside)
-    penalties[np.isin(places, after)] = sentence
-    penalties[np.isin(places, doc_ends)] = 0.0
-    penalties[0] = penalties[-1] = 0.0
-    return places, penalties
+    """Places to cut and their penalties: document ends, sentence ends, and a grid of places inside sentences.
+
+    The grid's step bounds the padding that a sentence, however long, can force on a sequence.
+    """
+    cost = np.full(len(ids) + 1, np.inf)
+    cost[:: max(1, length // 64)] = inside
+    cost[1:][ends_sentence[ids]] = sentence
+    cost[doc_ends] = cost[0] = cost[len(ids)] = 0.0
+    places = np.flatnonzero(cost < np.inf)
+    return places, cost[places]
 
 
 class Packer:
@@ -123,8 +119,8 @@ def pack(
     tokenizer: str,
     end_id: int = 0,
     length: int = 1024,
-    sentence: float = 4.0,
-    inside: float = 16.0,
+    sentence: float = 2.0,
+    inside: float = 8.0,
     id_col: str = "doc_id",
     text_col: str = "text",
     hold: int = 1 << 20,
