@@ -40,7 +40,7 @@ class Encoder:
     most_cached: pieces remembered per generation; it bounds memory and changes no result.
     """
 
-    def __init__(self, path: str, spaced: bool, literal: bool = False, most_cached: int = 500_000):
+    def __init__(self, path: str, spaced: bool, literal: bool = False, most_cached: int = 350_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
