@@ -7,8 +7,10 @@ import shutil
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from martlet.operators import attribution, changes, unify
 from tests.compare import ROOT, difference, duck
 
 NAMES = """
@@ -47,3 +49,48 @@ def skewed(tmp_path_factory):
 @pytest.mark.parametrize("name", NAMES)
 def test_same_rows_when_skewed(spark, skewed, name):
     assert difference(contract.queries()[name](spark, skewed), duck(skewed), contract.oracle_sql()[name]) is None
+
+
+# ------------------------------------------------------------------ NULL keys, rows per task
+@pytest.fixture
+def shuffled(spark):
+    """Joins shuffle, and partitions stay as they are dealt."""
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def evenly_dealt(df):
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    return max(sizes) <= 1.3 * sum(sizes) / len(sizes)
+
+
+def third_without(spark, key, other):
+    n = F.col("id")
+    return spark.range(9000).select(n.alias(other), F.when(n % 3 > 0, n).alias(key), F.lit("x").alias("v"))
+
+
+def test_orders_without_numeric_id_do_not_meet(shuffled):
+    child = shuffled.range(9000).select(F.col("id").alias("order_id_numeric"), F.lit(1).alias("items"))
+    joined = unify._with_child(third_without(shuffled, "order_id_numeric", "order_id"), child)
+    assert joined.count() == 9000 and joined.filter("items = 1").count() == 6000 and evenly_dealt(joined)
+
+
+def test_updates_of_rows_without_key_do_not_meet(shuffled):
+    source = shuffled.range(9000).select(F.col("id").alias("k"), F.lit("new").alias("w"))
+    updated = changes.update_from(third_without(shuffled, "k", "id"), source, "k", {"v": F.col("src_w")})
+    assert updated.columns == ["id", "k", "v"] and updated.filter("v = 'new'").count() == 6000 and evenly_dealt(updated)
+
+
+def test_extract_rows_without_order_do_not_meet(shuffled):
+    utm = third_without(shuffled, "order_id", "created_at").select(
+        "*", F.lit(None).cast("string").alias("sales_channel"), F.lit("UNKNOWN_CHANNEL").alias("attribution_status"),
+        F.lit("/p").alias("first_landing_page"), F.lit(None).cast("string").alias("first_utm_source"),
+    )
+    extract = shuffled.range(9000).select(F.col("id").alias("order_id"), F.lit("web").alias("channel_handle"))
+    found = attribution.reclassify_from_extract(utm, extract)
+    assert found.filter("sales_channel = 'web'").count() == 6000 and evenly_dealt(found)
