@@ -119,7 +119,8 @@ def _stretches(hinted: DataFrame, width: int) -> DataFrame:
             rank[by_id] = np.arange(len(ids))
             rows = rows[np.argsort(rank[text[rows]], kind="stable")]
             # The words of the slice as one string, and where each starts in it.
-            words = " ".join(coded.to_pylist())
+            names = coded.dictionary.to_pylist()
+            words = " ".join([names[i] for i in coded.indices.to_pylist()])
             size = pc.utf8_length(coded.dictionary).to_numpy()[coded.indices.to_numpy()]
             ends = np.cumsum(size + 1) - 1
             first = (np.cumsum(counts) - counts)[text[rows]] + start[rows]
