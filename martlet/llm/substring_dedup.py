@@ -138,6 +138,9 @@ def _stretches(hinted: DataFrame, width: int) -> DataFrame:
             for row, (a, b, t) in enumerate(zip(begin, end, owners)):
                 stretch = words[a:b]
                 texts.append(stretch if firsts.setdefault(stretch, ids[t]) == ids[t] else None)
+            for row, stretch in enumerate(texts):
+                if stretch is None:  # needs no block, so it must not crowd a frequent one
+                    blocks[row] = keys[owners[row]]
             for row in np.flatnonzero(is_hot).tolist():
                 if texts[row] is not None:
                     blocks[row] = xxhash.xxh64_intdigest(texts[row]) - (1 << 63)
