@@ -16,8 +16,8 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_deduped(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the later copies of repeated runs of lines."""
-    return line_dedup.without_repeats(docs)
+    """All documents, without the later copies of repeated runs of lines and of repeated lines of 20 words and more."""
+    return line_dedup.without_repeats(docs, line_words=20)
 
 
 def near_deduped(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,8 @@ only tell equal prefixes from unequal ones here, so the rank of a class of suffi
 place where it occurs. A class with two or more members at length h is an LCP interval of at least h
 lines; a suffix alone in its class is settled and drops out, which leaves few after the first round.
 The maximal repeated runs of at least `min_lines` lines are the unions of the intervals at that length,
-so doubling stops there. Of each run the first copy stays and later copies go.
+so doubling stops there. A single line of many words counts as a run too, if asked for: the first round
+already tells its class. Of each run the first copy stays and later copies go.
 """
 
 from __future__ import annotations
@@ -38,18 +39,31 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def repeated_runs(docs: DataFrame, min_lines: int, id_col: str, text_col: str) -> DataFrame:
-    """Starts of `min_lines` lines that occur at an earlier place too: (id, h, pos), h being the text's hash."""
+def _long(line: Column, words: int) -> Column:
+    """Whether a line has at least `words` words; possessive, so it never goes back over a line."""
+    return F.rlike(line, F.lit(rf"^\s*+(?:\S++\s++){{{words - 1}}}\S"))
+
+
+def repeated_runs(docs: DataFrame, min_lines: int, id_col: str, text_col: str, line_words: int | None = None) -> DataFrame:
+    """Starts of runs that occur at an earlier place too: (id, h, pos, n), h being the text's hash, n the run's lines.
+
+    Runs have `min_lines` lines, or one line of at least `line_words` words.
+    """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     held = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"))
     hashed = F.transform(
         _lines(F.col("text")),
-        lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"), F.rlike(x, F.lit(r"[^ \t\n\x0B\f\r]")).alias("said")),
+        lambda x: F.struct(
+            F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"), F.rlike(x, F.lit(r"[^ \t\n\x0B\f\r]")).alias("said"),
+            (F.lit(False) if line_words is None else _long(x, line_words)).alias("long"),
+        ),
     )
     lines = held.select("id", F.col("id").isNull().alias("last"), F.xxhash64("text").alias("h"), F.posexplode(hashed).alias("pos", "line"))
     # Rows with the same id and text are one document that is given repeatedly.
-    suffixes = lines.groupBy(*PLACE).agg(F.first("line.a").alias("a"), F.first("line.b").alias("b"), F.first("line.said").alias("said"))
-    level = land(_ranked(suffixes, "a", "b").select(*PLACE, "said", "rank"), "lines")
+    suffixes = lines.groupBy(*PLACE).agg(*[F.first(f"line.{c}").alias(c) for c in ("a", "b", "said", "long")])
+    level = land(_ranked(suffixes, "a", "b").select(*PLACE, "said", "long", "rank"), "lines")
+    later = F.col("rank") < _place()
+    single = level.filter(F.col("long") & later).select("id", "h", "pos", F.lit(1).alias("n"))
     length = 1
     while length < min_lines:
         step = min(length, min_lines - length)  # the last round may overlap its halves
@@ -62,27 +76,31 @@ def repeated_runs(docs: DataFrame, min_lines: int, id_col: str, text_col: str) -
         )
         level = land(_ranked(pairs, "own", "next").select(*PLACE, "said", "rank"), "lines")
         length += step
-    return level.filter(F.col("said") & (F.col("rank") < _place())).select("id", "h", "pos")
+    runs = level.filter(F.col("said") & later).select("id", "h", "pos", F.lit(min_lines).alias("n"))
+    return runs if line_words is None else runs.unionByName(single)
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text", line_words: int | None = None
+) -> DataFrame:
     """`docs` as `record`, with `lines` (of the text), `kept` (numbers of the lines that stay) and `kept_text`.
 
     Lines are split at "\\n" and compared as they are, by a 128-bit hash. A run of at least `min_lines` lines, not all of them
-    blank, that occurs at an earlier place of the corpus is deleted; a place comes by document id, null last, then
+    blank, that occurs at an earlier place of the corpus is deleted, and with `line_words` also a single line of at least so many
+    words (between ASCII white space) that does, whatever its neighbours; a place comes by document id, null last, then
     by the text's hash, then by line. Runs may overlap: of a line repeated n times in a row the first stays. Repeated
     rows (same id and text) count as one document and come out alike. A null text stays null, an empty one
     has one blank line. An empty table gives no rows. Names cannot clash, as the columns stay in `record`.
     """
-    starts = repeated_runs(docs, min_lines, id_col, text_col)
-    gone = starts.groupBy("id", "h").agg(F.collect_list("pos").alias("starts"))
+    starts = repeated_runs(docs, min_lines, id_col, text_col, line_words)
+    gone = starts.groupBy("id", "h").agg(F.collect_list(F.struct("pos", "n")).alias("starts"))
     text = F.col(f"record.`{text_col}`").cast("string")
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record")).select(
         "record", F.col(f"record.`{id_col}`").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h")
     )
     on = [F.col("d.h") == F.col("g.h"), F.col("d.id").eqNullSafe(F.col("g.id"))]
     found = held.alias("d").join(gone.alias("g"), on, "left").select("record", "starts")
-    deleted = F.flatten(F.transform("starts", lambda s: F.sequence(s, s + F.lit(min_lines - 1))))
+    deleted = F.flatten(F.transform("starts", lambda s: F.sequence(s["pos"], s["pos"] + s["n"] - 1)))
     lines = _lines(text)
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce(deleted, F.array().cast("array<int>")))
     kept_lines = F.transform("kept", lambda i: F.col("lines")[i])
@@ -97,9 +115,11 @@ def dedup_lines(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", tex
     )
 
 
-def without_repeats(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_repeats(
+    docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text", line_words: int | None = None
+) -> DataFrame:
     """`docs` with the kept lines as text, and `n_chars`, where there is such a column, counting them. No row is lost."""
-    found = dedup_lines(docs, min_lines, id_col, text_col)
+    found = dedup_lines(docs, min_lines, id_col, text_col, line_words)
     new = {text_col: F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
     return found.select(*[(new[c] if c in new else F.col(f"record.`{c}`")).alias(c) for c in docs.columns])
 
