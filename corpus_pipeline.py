@@ -9,10 +9,14 @@ from martlet.llm import decontaminate, line_dedup, packing, quality_rules, simha
 from martlet.llm.common import land
 from martlet.sources.tables import read_table
 
+# The base rules reject repeats over 20 % of the words, so two copies of a run of up to 10 % pass them. These limits decide below
+# that: runs of 20 words and more over 10 %, or one run of over 3 % and 50 words.
+RULES = quality_rules.Rules(most_covered=0.10, longest_share=0.03)
+
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    return quality_rules.keep_good(docs)
+    return quality_rules.keep_good(docs, rules=RULES)
 
 
 def line_deduped(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

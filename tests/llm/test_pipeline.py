@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from martlet.llm import line_dedup
+from martlet.llm import line_dedup, quality_rules
 from tests.llm.test_operators import prose, table
 
 
@@ -46,3 +46,39 @@ def test_line_dedup_stage_deletes_later_copies_of_one_long_line(spark):
     got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.line_deduped(spark, table(spark, given), "").collect()}
     want = {1: given[0][1], 2: f"four\n{frame}\nfive\nsix", 3: "", 4: frame}
     assert got == {k: (v, len(v)) for k, v in want.items()}
+
+
+def test_quality_stage_judges_repeats_that_pass_the_base_rules(spark):
+    """Words that occur once, but for copies of runs: what is rejected is rejected by one limit alone."""
+    fresh = (f"w{i}" for i in range(10**6))
+    words = lambda n: [next(fresh) for _ in range(n)]
+
+    def text(n, *copied):
+        """n words, among them two copies of a run of each length, apart from each other."""
+        runs = [words(k) for k in copied]
+        gap = (n - 2 * sum(copied)) // (2 * len(runs) + 1)
+        parts = [words(gap) + run for run in runs + runs]
+        out = sum(parts, [])
+        return " ".join(out + words(n - len(out)))
+
+    frame = words(12)
+    given = {
+        1: (text(2000, 80), False),  # 8 % covered, the run 4 %
+        2: (text(2000, 60), False),  # a run of 3 % is no fault
+        3: (text(3000, 91), False),
+        4: (text(1000, 50), False),  # 50 words and 10 % covered are no fault
+        5: (text(1000, 51), False),
+        6: (text(2000, *[30] * 4), False),  # 12 % covered by runs of 1.5 %
+        7: (text(2000, *[19] * 6), False),  # as much by runs of under 20 words
+        8: (text(300, 22), False),  # 14.7 % covered
+        9: (" ".join(frame + words(130) + frame), False),  # a site's line at the top and the bottom
+        10: (text(2000, 210), True),
+    }
+    docs = table(spark, [(i, t) for i, (t, _) in given.items()])
+    rated = {r.doc_id: r for r in quality_rules.rate(docs).select("record.doc_id", "measures.*").collect()}
+    assert {i: r.base_failed for i, r in rated.items()} == {i: failed for i, (_, failed) in given.items()}
+    kept = {r.doc_id: r.text for r in corpus_pipeline.good(spark, docs, "").collect()}
+    assert kept == {i: given[i][0] for i in (2, 4, 7, 9)}
+    by_share = {i for i, r in rated.items() if not r.base_failed and r.longest_repeat > max(50, 0.03 * r.n_words)}
+    by_cover = {i for i, r in rated.items() if not r.base_failed and r.n_covered_words > 0.10 * r.n_words}
+    assert (by_share - by_cover, by_cover - by_share) == ({1, 3}, {6, 8})
