@@ -1,14 +1,16 @@
 """The stages of the corpus pipeline on small tables, against plain Python."""
 
 import random
+import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from martlet.llm import line_dedup, quality_rules
-from tests.llm.test_operators import prose, table
+from tests.llm.test_operators import classes, ids_of, normal_words, prose, simhash_of, table
 
 
 def deduped_lines(docs, width, line_words):
@@ -82,3 +84,77 @@ def test_quality_stage_judges_repeats_that_pass_the_base_rules(spark):
     by_share = {i for i, r in rated.items() if not r.base_failed and r.longest_repeat > max(50, 0.03 * r.n_words)}
     by_cover = {i for i, r in rated.items() if not r.base_failed and r.n_covered_words > 0.10 * r.n_words}
     assert (by_share - by_cover, by_cover - by_share) == ({1, 3}, {6, 8})
+
+
+def good_by_hand(text):
+    words = (text or "").encode().split()
+
+    def repeated(n):
+        seen = Counter(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+        return {k for i in range(len(words) - n + 1) if seen[tuple(words[i : i + n])] > 1 for k in range(i, i + n)}
+
+    longest = max(50, int(0.03 * len(words))) + 1
+    return len(words) >= 10 and 100 * len(repeated(5)) <= 20 * len(words) and len(repeated(20)) <= 0.10 * len(words) and not repeated(longest)
+
+
+def near_by_hand(docs):
+    """Of each group of texts linked by fingerprints at a distance of 2 at most the one with the smallest id."""
+    fps = {i: simhash_of(t) for i, t in docs.items()}
+    root = classes(sorted(set(fps.values())), lambda a, b: (a ^ b).bit_count() <= 2)
+    least = {}
+    for i in sorted(docs):
+        least.setdefault(root[fps[i]], i)
+    return {i: docs[i] for i in least.values()}
+
+
+def clean_by_hand(docs, items):
+    windows = set()
+    for item in items:
+        words = [w for w in normal_words(item) if w]
+        windows |= {tuple(words[i : i + 10]) for i in range(max(1, len(words) - 9))}
+
+    def hit(text):
+        words = [w for w in normal_words(text) if w]
+        return any(tuple(words[i : i + n]) in windows for n in {len(w) for w in windows} for i in range(len(words) - n + 1))
+
+    return {i: t for i, t in docs.items() if not hit(t)}
+
+
+def test_stages_in_a_row(spark, tmp_path):
+    rng = random.Random(11)
+    some = lambda n: " ".join("".join(rng.choices("abcdefghij", k=4)) for _ in range(n))
+    base = [some(rng.randint(40, 120)) for _ in range(12)]
+    passage, notice, items = some(70), some(25), [some(14), some(10), some(4)]
+    docs = dict(enumerate(base))
+    docs |= {20: base[3], 21: base[4] + "\n" + base[5], 22: f"{base[6]}\n{notice}\n{some(30)}", 23: f"{some(30)}\n{notice}\n{some(20)}"}
+    docs |= {24: f"{some(30)} {items[0]} {some(9)}", 25: f"{some(12)}\n{items[1].upper()}", 26: f"{some(20)} {items[2]}", 27: f"{some(20)} {items[0][:40]}"}
+    docs |= {28: f"{passage} {some(1700)} {passage}", 29: some(9), 30: None, 31: "", 32: "same words here " * 20}
+    docs |= {33: f"{some(60)}\nby one\nby two\n{some(15)}", 34: f"{some(60)}\nby one\nby two\n{some(15)}", 35: f"{some(50)}\nby one\n{some(15)}"}
+    docs |= {40 + i: base[8 + i].replace(" ", "  ") for i in range(3)}  # other lines, equal fingerprints
+    docs |= {50: base[0].upper(), 51: f"{items[0]}\n{some(40)}", 52: f"{some(30)}\n{items[0]}"}
+    spark.createDataFrame([(i, t, None if t is None else len(t)) for i, t in docs.items()], "doc_id long, text string, n_chars long").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    want = [{i: t for i, t in docs.items() if good_by_hand(t)}]
+    want.append({d[0]: t for d, t in deduped_lines(sorted(want[0].items()), 2, 20).items()})
+    want.append(near_by_hand(want[1]))
+    want.append(clean_by_hand(want[2], items))
+    assert len(docs) > len(want[0]) == len(want[1]) > len(want[2]) > len(want[3]) and want[0] != want[1]
+    held = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for (name, stage), texts in zip(corpus_pipeline.STAGES, want):
+        held = stage(spark, held, str(tmp_path))
+        rows = held.collect()
+        assert len(rows) == len(texts) and {r.doc_id: r.text for r in rows} == texts, name
+        assert all(r.n_chars == len(r.text) for r in rows), name
+        held = spark.createDataFrame(rows, held.schema)
+    pieces = {}
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        pieces.setdefault(r.doc_id, []).append(r)
+    assert set(pieces) == set(want[3])
+    for i, text in want[3].items():
+        ids = np.array([*ids_of("byte_bpe_50k.json", text), 0], dtype="<u4")
+        at = 0
+        for r in sorted(pieces[i], key=lambda r: r.start):
+            part = ids[r.start : r.start + r.length]
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(part.tobytes()))
+            at += r.length
+        assert at == len(ids)
