@@ -8,10 +8,16 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | None = None, app: str = "martlet") -> SparkSession:
+# The folder of this process for local sessions that name none; Spark refuses to set the key once a session runs.
+_fallback: str | None = None
+
+
+def local_session(cpus: int | None = None, app: str = "martlet", shared: str | None = None) -> SparkSession:
+    """A session on this machine; `shared` becomes its ``spark.checkpoint.dir``, in place of what Spark's own settings name."""
     cpus = cpus or os.cpu_count() or 4
+    builder = SparkSession.builder if shared is None else SparkSession.builder.config("spark.checkpoint.dir", shared)
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
@@ -31,13 +37,14 @@ def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
     Only a local master, where all executors share one disk, may fall back to a
-    fresh temporary folder; anywhere else a missing setting is an error.
+    temporary folder (one per process); anywhere else a missing setting is an error.
     """
+    global _fallback
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="martlet-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if _fallback is None:
+        _fallback = tempfile.mkdtemp(prefix="martlet-")
+    return _fallback

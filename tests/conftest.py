@@ -11,6 +11,4 @@ from martlet.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     """A local session; what queries write goes to a folder that pytest clears."""
-    session = local_session(8, "tests")
-    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-    return session
+    return local_session(8, "tests", shared=str(tmp_path_factory.mktemp("shared")))
