@@ -8,7 +8,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from martlet.session import shared_folder
 
@@ -60,3 +61,36 @@ def spans_union(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nd
     first = np.r_[True, starts[1:] > reach[:-1]]
     last = np.r_[first[1:], True]
     return starts[first], reach[last]
+
+
+class Filter:
+    """A bitmap of fixed size in which hashes are looked up: what was put in is always found, little else is.
+
+    It has `bits` bits (8 MiB by default) however many hashes go in, so it may be sent to every task. Whoever uses it must
+    be right with any false hit; a full bitmap costs work, never results.
+    """
+
+    BITS = 1 << 26
+
+    def __init__(self, hashes: DataFrame, column: str, bits: int = BITS):
+        place = F.col(column).bitwiseAND(F.lit(bits - 1)) + 1
+        parts = (
+            hashes.select(place.alias("at"))
+            .groupBy(F.bitmap_bucket_number("at").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("set"))
+        )
+        content = np.zeros(bits // 8, dtype=np.uint8)
+        for bucket, part in parts.collect():  # at most `bits` / 32768 rows of 4 KiB
+            content[(bucket - 1) * 4096 : bucket * 4096] = np.frombuffer(part, dtype=np.uint8)[: len(content)]
+        self.shared = hashes.sparkSession.sparkContext.broadcast(content)
+        self.bits = bits
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        """For unsigned 64-bit hashes, whether they may be in."""
+        at = (hashes & np.uint64(self.bits - 1)).astype(np.int64)
+        return (self.shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def lower_az(column: str) -> Column:
+    """A text column with A-Z alone in lower case."""
+    return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martlet.llm import (
     chat_format,
+    collocations,
     decontaminate,
     line_dedup,
     packing,
+    privacy,
     quality_rules,
     sharding,
     simhash,
+    spelling,
     substring_dedup,
     token_counts,
     token_store,
@@ -67,6 +70,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_digest(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
+def op13_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.privacy_digest(read_table(spark, sf_dir, "documents"))
+
+
 # Words of a text between ASCII white space, and a document's lines, as DuckDB sees them.
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -173,6 +188,42 @@ SQL = {
         SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
         FROM d LEFT JOIN k USING (doc_id)
     """,
+    "op11_collocations": r"""
+        WITH d AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents
+        ),
+        pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+        f AS (
+            SELECT lang, size, array_to_string(w[i + 1 : i + size], ' ') AS phrase, count(*) AS f
+            FROM (SELECT lang, w, size, unnest(range(greatest(0, len(w) - size + 1))) AS i FROM w, range(1, 6) AS t(size))
+            GROUP BY ALL HAVING count(*) >= 100
+        ),
+        c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS p FROM f WHERE size > 1),
+        cut AS (
+            SELECT lang, phrase, a, p, k, array_to_string(p[1 : k], ' ') AS front, array_to_string(p[k + 1 : size], ' ') AS back
+            FROM (SELECT *, unnest(range(1, size)) AS k FROM c)
+        ),
+        scored AS (
+            SELECT cut.lang, cut.phrase, a, k, l.f AS l, r.f AS r, n,
+                CAST((1000 * CAST(a AS HUGEINT) * CAST(n AS HUGEINT)) // (CAST(l.f AS HUGEINT) * CAST(r.f AS HUGEINT)) AS BIGINT) AS score
+            FROM cut JOIN f AS l ON l.lang = cut.lang AND l.phrase = front
+            JOIN f AS r ON r.lang = cut.lang AND r.phrase = back JOIN totals ON totals.lang = cut.lang
+        ),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        gone AS (
+            SELECT DISTINCT inner_.lang, inner_.phrase
+            FROM (SELECT lang, a, size, p, unnest(range(2, size)) AS part FROM c) AS outer_, range(4) AS t(i), c AS inner_
+            WHERE i + part <= outer_.size AND inner_.lang = outer_.lang
+                AND inner_.phrase = array_to_string(outer_.p[i + 1 : i + part], ' ') AND 100 * outer_.a >= 100 * inner_.a
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM best ANTI JOIN gone USING (lang, phrase)
+        QUALIFY rank <= 2000
+    """,
 }
 
 
@@ -180,6 +231,7 @@ def queries() -> dict[str, Query]:
     found = (
         op1_simhash, op2_quality_rules, op3_token_store, op4_line_dedup, op5_chat_formatting,
         op6_decontamination, op7_substring_dedup, op8_packing, op9_sharding, op10_token_counts,
+        op11_collocations, op12_spelling_variants, op13_privacy,
     )
     return {f.__name__: f for f in found}
 
