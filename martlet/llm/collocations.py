@@ -28,7 +28,7 @@ NO_LANG = "und"
 LONGEST = 5
 # Counters of one summary that a hash partition is laid out for (16 bytes each).
 COUNTERS = 1 << 20
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 4 << 20
 
 ENDS = np.isin(np.arange(256), np.frombuffer(PIECE_ENDS, dtype=np.uint8))
 IN_WORD = ~(ENDS | np.isin(np.arange(256), np.frombuffer(BLANKS, dtype=np.uint8)))
