@@ -1,10 +1,14 @@
-"""Row changes as transforms. Write the result to a new path: Parquet is never updated in place."""
+"""Row changes, as transforms and on tables of partitions.
+
+The transforms give a new table. The changes of tables at a path rewrite the partitions that hold a touched row and no other; such a change writes its
+new partitions aside first, so what it reads is never what it overwrites, and a run after a loss goes on from what lies aside.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.functions import as_date
@@ -54,3 +58,122 @@ def batch_merge(target: DataFrame, batch: DataFrame, key: str, order: Sequence[s
     """
     both = target.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)), allowMissingColumns=True)
     return dedup_latest(both, [key], ["_new", *order]).drop("_new")
+
+
+# ------------------------------------------------------------------ tables of partitions
+# Fixed value: the folder of the partition without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _in(by: str, values: Sequence) -> Column:
+    """Rows of these partitions, as a filter that prunes."""
+    some = F.col(by).isin([v for v in values if v is not None])
+    return some | F.col(by).isNull() if None in values else some
+
+
+def _values(df: DataFrame, by: str) -> list:
+    """The partitions of some rows: days or the like, so few that the driver may know them."""
+    return [r[0] for r in df.select(by).distinct().collect()]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _swap_in(spark: SparkSession, path: str, by: str, aside: str) -> None:
+    """Whole partitions that lie aside, if they are complete, take the place of those of the table."""
+    if _exists(spark, f"{aside}/_SUCCESS"):
+        ready = spark.read.parquet(aside)
+        ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+        _delete(spark, aside)
+
+
+def _overwrite(df: DataFrame, path: str, by: str, aside: str) -> None:
+    df.write.mode("overwrite").parquet(aside)
+    _swap_in(df.sparkSession, path, by, aside)
+
+
+def _aside(path: str) -> str:
+    return f"{path.rstrip('/')}-aside"
+
+
+def _table(spark: SparkSession, path: str, by: str) -> DataFrame:
+    """The table at `path`, after a change that was lost between its two writes has been brought to its end."""
+    _swap_in(spark, path, by, _aside(path))
+    return spark.read.parquet(path)
+
+
+def replace_partitions(spark: SparkSession, path: str, by: str, rows: DataFrame, key: Sequence[str], aside: str) -> None:
+    """Insert-or-replace `rows` by `key` into the table at `path`, whose partitions are days or the like; a key stays in its partition.
+
+    Doing it again with the same rows changes nothing. NULLs in the key are equal.
+    """
+    _swap_in(spark, path, by, aside)
+    landed = f"{aside}-rows"
+    rows.write.mode("overwrite").parquet(landed)
+    new = spark.read.schema(rows.schema).parquet(landed)
+    if _exists(spark, path):
+        old = spark.read.schema(rows.schema).parquet(path).filter(_in(by, _values(new, by))).select(*rows.columns)
+        same = [F.col(f"old.`{c}`").eqNullSafe(F.col(f"new.`{c}`")) for c in [by, *(c for c in key if c != by)]]
+        new = new.unionByName(old.alias("old").join(new.alias("new"), same, "left_anti"))
+    _overwrite(new, path, by, aside)
+    _delete(spark, landed)
+
+
+def update_partitions(spark: SparkSession, path: str, by: str, condition: Column, sets: Mapping[str, Column]) -> list:
+    """`update_where` on a table at `path`, partitioned by `by`; gives the partitions that were rewritten. `by` itself cannot be set."""
+    if by in sets:
+        raise ValueError(f"rows cannot move between partitions of {by}")
+    table = _table(spark, path, by)
+    touched = _values(table.filter(F.coalesce(condition, F.lit(False))), by)
+    if touched:
+        _overwrite(update_where(table.filter(_in(by, touched)), condition, sets), path, by, _aside(path))
+    return touched
+
+
+def update_partitions_from(
+    spark: SparkSession, path: str, by: str, source: DataFrame, key: str, sets: Mapping[str, Column], condition: Column | None = None
+) -> list:
+    """`update_from` on a table at `path`; of the partitions without a matching key only the keys are read."""
+    if by in sets:
+        raise ValueError(f"rows cannot move between partitions of {by}")
+    table = _table(spark, path, by)
+    touched = _values(table.join(source.select(key).filter(F.col(key).isNotNull()).distinct(), key, "left_semi"), by)
+    if touched:
+        _overwrite(update_from(table.filter(_in(by, touched)), source, key, sets, condition), path, by, _aside(path))
+    return touched
+
+
+def retention_drop(spark: SparkSession, path: str, by: str, as_of, days: int = 730) -> list:
+    """`retention_delete` on a table at `path` that is partitioned by its date: old partitions are dropped, and no column is read."""
+    listed = _table(spark, path, by).select(by).distinct()  # partition values only
+    cutoff = F.date_sub(as_date(as_of), days)
+    old = [r[0] for r in listed.filter(F.col(by) < cutoff).select(F.col(by).cast("string")).collect()]
+    for value in old:
+        _delete(spark, f"{path.rstrip('/')}/{by}={value}")
+    return old
+
+
+def merge_partitions(spark: SparkSession, path: str, by: str, batch: DataFrame, key: str, order: Sequence[str]) -> list:
+    """`batch_merge` into a table at `path`: partitions are rewritten that hold a key of the batch, or get one.
+
+    A key may move: its old row goes from the partition where it was. A partition that loses all of its rows is dropped.
+    """
+    table = _table(spark, path, by)
+    # Rows without a key replace nothing; they are inserted as they come.
+    arriving = dedup_latest(batch.filter(F.col(key).isNotNull()), [key], order).unionByName(batch.filter(F.col(key).isNull()))
+    holding = _values(table.join(batch.select(key).distinct(), key, "left_semi"), by)
+    touched = list(dict.fromkeys([*holding, *_values(batch, by)]))
+    kept = table.filter(_in(by, touched)).join(batch.select(key).distinct(), key, "left_anti")
+    kept.unionByName(arriving.select(*table.columns)).write.mode("overwrite").parquet(_aside(path))
+    left = _values(spark.read.parquet(_aside(path)), by)
+    _swap_in(spark, path, by, _aside(path))
+    for value in (v for v in holding if v not in left):
+        _delete(spark, f"{path.rstrip('/')}/{by}={NO_VALUE if value is None else value}")
+    return touched

@@ -15,7 +15,9 @@ _fallback: str | None = None
 def local_session(cpus: int | None = None, app: str = "martlet", shared: str | None = None) -> SparkSession:
     """A session on this machine; `shared` becomes its ``spark.checkpoint.dir``, in place of what Spark's own settings name."""
     cpus = cpus or os.cpu_count() or 4
-    builder = SparkSession.builder if shared is None else SparkSession.builder.config("spark.checkpoint.dir", shared)
+    builder = SparkSession.builder
+    if shared is not None:
+        builder = builder.config("spark.checkpoint.dir", shared).config("spark.sql.warehouse.dir", f"{shared}/warehouse")
     spark = (
         builder.master(f"local[{cpus}]")
         .appName(app)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import time
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,6 +22,38 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     return df.sparkSession.read.parquet(path)
 
 
+def publish_table(
+    df: DataFrame, name: str, check: Callable[[DataFrame], bool] | None = None, partition_by: Sequence[str] = (), keep: int = 1
+) -> DataFrame:
+    """Create or replace the catalogue table `name`; readers see the old rows or the new ones, never a half of either.
+
+    The rows are written as a table of their own, `check` (if any) looks at it, and only then the name is switched, which is one change of the
+    catalogue. If the write or the check fails, the name still gives the old rows, and what was written aside is dropped. `df` may read
+    from `name`. Of the versions before, `keep` stay, so readers that have begun can end.
+    """
+    spark = df.sparkSession
+    version = f"{name}__{time.time_ns():020d}"
+    try:
+        df.write.partitionBy(*partition_by).saveAsTable(version)
+        if check is not None and not check(spark.table(version)):
+            raise ValueError(f"{name}: the new rows do not pass their check; the old ones stay")
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {version}")
+        raise
+    for old in versions(spark, name)[: -keep - 1]:
+        spark.sql(f"DROP TABLE {old}")
+    return spark.table(name)
+
+
+def versions(spark: SparkSession, name: str) -> list[str]:
+    """The tables behind a published name, oldest first."""
+    *schema, table = name.split(".")
+    where = f" IN {schema[0]}" if schema else ""
+    found = (r.tableName for r in spark.sql(f"SHOW TABLES{where} LIKE '{table}__*'").collect())
+    return sorted(".".join([*schema, t]) for t in found if t.removeprefix(f"{table.lower()}__").isdigit())
+
+
 def register_view(df: DataFrame, name: str, alias: Mapping[str, str] | None = None) -> DataFrame:
     """Create or replace a view; `alias` maps published column names to those of `df`."""
     if alias:

@@ -1,12 +1,13 @@
 import datetime as dt
 import os
 import pathlib
+import shutil
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from martlet.operators import dedup, monitor, quality
+from martlet.operators import changes, dedup, monitor, quality
 from martlet.session import shared_folder
 from martlet.sources import files, tables
 from martlet.streaming import streams
@@ -211,18 +212,174 @@ def test_stream_reads_its_own_path_only(spark, tmp_path):
     assert streams.append_stream(stream, f"{tmp_path}/out").count() == 5
 
 
-def test_stream_log_is_compacted(spark, tmp_path):
+def test_stream_log_as_a_table(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     log = streams.upserts(spark, out, ["k"], ["v"])
     stream = lambda: spark.readStream.schema(SCHEMA).parquet(f"{src}/*.parquet")
     rows = lambda df: sorted((r.k, r.v) for r in df.collect())
     land(spark, src, "a", (1, 1, T), (2, 1, T))
     assert log.read() is None
-    log.compact()
     assert rows(log.take(stream())) == [(1, 1), (2, 1)]
-    log.compact()
     land(spark, src, "b", (1, 2, T), (3, 1, T))
     assert rows(log.take(stream())) == [(1, 2), (2, 1), (3, 1)]
-    log.compact()
-    assert rows(log.read()) == [(1, 2), (2, 1), (3, 1)]
-    assert all("batch_id" not in f for f in log.read().inputFiles() if "/tables/" in f) and any("/tables/" in f for f in log.read().inputFiles())
+    assert rows(streams.folded(log, str(tmp_path / "table"))) == [(1, 2), (2, 1), (3, 1)]
+
+
+def windowed(spark, out, look_back=86_400):
+    sums = {"total": F.sum("v"), "n": F.count("*")}
+    merge = lambda parts: parts.groupBy("start", "k").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    return streams.Windowed(spark, out, "ts", "hour", look_back, ["k"], sums, merge)
+
+
+def test_late_rows_are_counted_and_corrected(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    stream = lambda: spark.readStream.schema(SCHEMA).parquet(f"{src}/*.parquet")
+    job = windowed(spark, out)
+    got = lambda: sorted(map(tuple, job.take(stream()).collect()), key=str)
+    expected = lambda: sorted(
+        map(tuple, spark.read.parquet(f"{src}/*.parquet").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz"), "k").agg(F.sum("v"), F.count("*")).collect()), key=str
+    )
+    at = lambda **ago_: T - dt.timedelta(**ago_)
+    batches = [
+        [(1, 5, T), (1, 6, at(hours=23)), (2, 7, at(days=9))],  # nothing is late in the first batch
+        [(1, 1, at(hours=24)), (1, 2, at(hours=25)), (1, 9, at(days=9)), (2, 3, None)],  # the bound itself is on time
+        [(1, 1, T + dt.timedelta(days=5)), (1, 1, T)],
+        [(1, 4, at(hours=0)), (None, 8, T + dt.timedelta(days=5)), (1, None, at(days=400))],
+        [],
+    ]
+    for n, rows in enumerate(batches):
+        land(spark, src, f"b{n}", *rows)
+        assert got() == expected()
+    assert got() == expected()  # nothing new
+    counts = {r.batch_id: (r.on_time, r.late) for r in job.arrivals().collect()}
+    assert [counts[i] for i in range(4)] == [(3, 0), (1, 3), (2, 0), (1, 2)]
+
+
+def test_only_touched_days_are_rewritten(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    stream = lambda: spark.readStream.schema(SCHEMA).parquet(f"{src}/*.parquet")
+    land(spark, src, "a", *[(1, 1, T - dt.timedelta(days=i)) for i in range(6)])
+    job = windowed(spark, out, 3 * 86_400)
+    job.take(stream()).count()
+    files = lambda: {d.name: sorted(f.name for f in d.glob("*.parquet")) for d in pathlib.Path(f"{out}/table").glob("day=*")}
+    before = files()
+    land(spark, src, "b", (1, 5, T), (1, 5, T - dt.timedelta(days=5)))
+    job.take(stream()).count()
+    changed = {d for d, names in files().items() if before[d] != names}
+    assert changed == {f"day={(T - dt.timedelta(days=i)).date()}" for i in (0, 5)}
+
+
+def test_a_batch_that_is_run_again_leaves_no_trace(spark, tmp_path):
+    """The last batches of the state and of the late rows were written, but not committed."""
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    stream = lambda: spark.readStream.schema(SCHEMA).parquet(f"{src}/*.parquet")
+    job = windowed(spark, out)
+    land(spark, src, "a", (1, 5, T), (1, 6, T))
+    job.take(stream()).collect()
+    land(spark, src, "b", (1, 7, T), (1, 8, T - dt.timedelta(days=3)), (2, 8, T))
+    first = sorted(map(tuple, job.take(stream()).collect()), key=str)
+    for query in ("state", "late"):
+        commits = pathlib.Path(f"{out}/{query}/commits")
+        last = max((p for p in commits.iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+        for gone in (last, commits / f".{last.name}.crc"):
+            gone.unlink(missing_ok=True)
+    assert sorted(map(tuple, job.take(stream()).collect()), key=str) == first
+
+
+def test_funnel_sketch_is_near_the_exact_count(spark, tmp_path):
+    rows = [("purchase", dt.datetime(2024, 1, 1 + i % 9, i % 3), i % 5003) for i in range(30_000)]
+    stream = split_stream(spark, rows, CLICKS, f"{tmp_path}/in", (2, 0, 1), True)
+    found = streams.event_funnel_sketch(stream, f"{tmp_path}/out").collect()
+    exact = {}
+    for _, ts, user in rows:
+        exact.setdefault(ts, []).append(user)
+    assert {r.window_start: r.event_count for r in found} == {ts: len(u) for ts, u in exact.items()}
+    for r in found:
+        assert abs(r.users - len(set(exact[r.window_start]))) <= 4 * 0.0163 * len(set(exact[r.window_start]))
+    whole = spark.createDataFrame(found).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch"))).first()[0]
+    assert abs(whole - 5003) <= 4 * 0.0163 * 5003
+    kept = spark.read.parquet(f"{tmp_path}/out/table")
+    assert "user_pseudo_id" not in kept.columns
+
+
+# ------------------------------------------------------------------- touched partitions
+def days_table(spark, path, n=6):
+    rows = [(f"2024-01-0{1 + i % n}", i, "old", i * 10) for i in range(3 * n)] + [(None, 100, "old", 0)]
+    spark.createDataFrame(rows, "day string, k long, v string, w long").withColumn("day", F.col("day").cast("date")).repartition("day").write.partitionBy("day").parquet(path)
+    files = lambda: {d.name: sorted(f.name for f in d.glob("*.parquet")) for d in pathlib.Path(path).glob("day=*")}
+    content = lambda: sorted(((str(r.day), r.k, r.v, r.w) for r in spark.read.parquet(path).collect()), key=str)
+    return files, content
+
+
+def test_updates_rewrite_touched_partitions_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    files, content = days_table(spark, path)
+    before, was = files(), content()
+    assert [str(d) for d in changes.update_partitions(spark, path, "day", F.col("k") == 4, {"v": F.lit("new")})] == ["2024-01-05"]
+    assert content() == sorted(((d, k, "new" if k == 4 else v, w) for d, k, v, w in was), key=str)
+    assert {d for d, f in files().items() if f != before[d]} == {"day=2024-01-05"}
+    before, was = files(), content()
+    source = spark.createDataFrame([(1, "s1"), (100, "s2"), (999, "s3"), (None, "s4")], "k long, n string")
+    changes.update_partitions_from(spark, path, "day", source, "k", {"v": F.col("src_n")})
+    assert content() == sorted(((d, k, {1: "s1", 100: "s2"}.get(k, v), w) for d, k, v, w in was), key=str)
+    assert {d for d, f in files().items() if f != before[d]} == {"day=2024-01-02", "day=__HIVE_DEFAULT_PARTITION__"}
+    before = files()
+    assert changes.update_partitions(spark, path, "day", F.col("k") == -1, {"v": F.lit("no")}) == [] and files() == before
+    with pytest.raises(ValueError, match="cannot move"):
+        changes.update_partitions(spark, path, "day", F.lit(True), {"day": F.lit(None)})
+
+
+def test_retention_drops_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    files, content = days_table(spark, path)
+    before, was = files(), content()
+    assert sorted(changes.retention_drop(spark, path, "day", "2024-01-10", 7)) == ["2024-01-01", "2024-01-02"]
+    assert content() == [r for r in was if r[0] == "None" or r[0] >= "2024-01-03"]
+    assert files() == {d: f for d, f in before.items() if d not in ("day=2024-01-01", "day=2024-01-02")}
+
+
+def test_merge_rewrites_partitions_that_hold_or_get_a_key(spark, tmp_path):
+    path = str(tmp_path / "t")
+    files, content = days_table(spark, path)
+    before, was = files(), content()
+    kind = "k long, v string, w long, day string"
+    batch = spark.createDataFrame([(2, "late", 1, "2024-01-03"), (2, "last", 2, "2024-01-03"), (50, "new", 1, "2024-02-01"), (7, "moved", 1, "2024-01-05"), (100, "dated", 5, "2024-01-05"), (None, "keyless", 5, "2024-02-01")], kind).withColumn("day", F.col("day").cast("date"))
+    changes.merge_partitions(spark, path, "day", batch, "k", ["w"])
+    want = [r for r in was if r[1] not in (2, 7, 100)]
+    want += [("2024-01-03", 2, "last", 2), ("2024-02-01", 50, "new", 1), ("2024-01-05", 7, "moved", 1), ("2024-01-05", 100, "dated", 5), ("2024-02-01", None, "keyless", 5)]
+    assert content() == sorted(want, key=str)
+    untouched = {"day=2024-01-01", "day=2024-01-04", "day=2024-01-06"}
+    assert {d for d in before if files().get(d) == before[d]} >= untouched
+    assert not [d for d in untouched if files()[d] != before[d]]
+
+
+def test_a_change_lost_between_its_writes_is_brought_to_its_end(spark, tmp_path):
+    path = str(tmp_path / "t")
+    files, content = days_table(spark, path)
+    was = content()
+    # What a lost run leaves: whole partitions aside, and the table's own half gone.
+    ready = spark.read.parquet(path).filter("day = DATE '2024-01-02'").withColumn("v", F.lit("aside"))
+    ready.write.parquet(f"{path}-aside")
+    shutil.rmtree(f"{path}/day=2024-01-02")
+    changes.update_partitions(spark, path, "day", F.col("k") == 4, {"v": F.lit("new")})
+    want = [(d, k, "aside" if d == "2024-01-02" else "new" if k == 4 else v, w) for d, k, v, w in was]
+    assert content() == sorted(want, key=str)
+
+
+# --------------------------------------------------------------------- published tables
+def test_published_table_is_switched_whole(spark):
+    name = f"published_{os.getpid()}"
+    ids = lambda: sorted(r.id for r in spark.table(name).collect())
+    tables.publish_table(spark.range(3), name)
+    held = spark.table(name)  # a reader that has begun
+    tables.publish_table(spark.table(name).unionByName(spark.range(10, 12)), name)  # reads what it replaces
+    assert ids() == [0, 1, 2, 10, 11] and held.count() == 3
+    broken = spark.range(5).select(F.when(F.col("id") == 4, F.raise_error(F.lit("no")).cast("long")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        tables.publish_table(broken, name)
+    with pytest.raises(ValueError, match="check"):
+        tables.publish_table(spark.range(0), name, check=lambda new: new.count() > 0)
+    assert ids() == [0, 1, 2, 10, 11] and len(tables.versions(spark, name)) == 2
+    tables.publish_table(spark.range(1), name, keep=0)
+    assert ids() == [0] and len(tables.versions(spark, name)) == 1
+    assert tables.publish_table(spark.range(2).withColumn("p", F.col("id") % 2), name, partition_by=["p"]).count() == 2

@@ -958,6 +958,28 @@ SELECT date_trunc('hour', ts) AS window_start, event_name, count(*) AS event_cou
 WHERE event_name IN ('page_view', 'view_item', 'add_to_cart', 'purchase') GROUP BY 1, 2
 """,
 )
+
+
+def sketched(x):
+    """Funnel by sketches, and whether each estimate lies within four standard errors of the exact count of users."""
+    web = x.shape_events(x.table("events"))
+    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("window_start")
+    exact = web.groupBy(hour, "event_name").agg(F.count_distinct("user_pseudo_id").alias("exact"))
+    found = streams.event_funnel_sketch(x.shape_events(stream_of(x, "events")), fresh_folder(x.spark, "sketch"))
+    error = 4 * 1.04 / 2 ** (streams.SKETCH_LG / 2)
+    near = F.abs(F.col("users") - F.col("exact")) <= F.greatest(F.lit(0.5), error * F.col("exact"))
+    joined = found.alias("s").join(exact.alias("e"), (F.col("s.window_start") == F.col("e.window_start")) & (F.col("s.event_name") == F.col("e.event_name")))
+    return joined.select("s.window_start", "s.event_name", "event_count", near.alias("users_near"))
+
+
+query(
+    "stream_funnel_sketch",
+    sketched,
+    """
+SELECT date_trunc('hour', ts) AS window_start, event_name, count(*) AS event_count, true AS users_near FROM web_events
+WHERE event_name IN ('page_view', 'view_item', 'add_to_cart', 'purchase') GROUP BY 1, 2
+""",
+)
 query(
     "stream_freshness",
     lambda x: streams.source_freshness(

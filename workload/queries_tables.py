@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from martlet.functions import as_timestamp
@@ -72,6 +74,20 @@ query(
     lambda x: tables.write_table(x.clean_customers, fresh_folder(x.spark, "clean-customers")),
     "SELECT * REPLACE (total_spent::DOUBLE AS total_spent) FROM clean_customers",
 )
+
+
+def published(x):
+    """Customers published under a name that an empty table held before."""
+    name = f"clean_customers_{uuid.uuid4().hex}"
+    tables.publish_table(x.clean_customers.limit(0), name)
+    return tables.publish_table(x.clean_customers, name, check=lambda new: not new.isEmpty(), keep=0)
+
+
+query(
+    "publish_table",
+    published,
+    "SELECT * REPLACE (total_spent::DOUBLE AS total_spent) FROM clean_customers",
+)
 query(
     "register_view",
     lambda x: tables.register_view(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from martlet.functions import query_param
 from martlet.operators import attribution, changes, conform, unify
 from workload.inputs import AS_OF
-from workload.registry import query
+from workload.registry import fresh_folder, query
 
 # ---------------------------------------------------------------- children per order
 query(
@@ -376,6 +376,106 @@ FROM (SELECT * REPLACE (ifnull(first_utm_source, '') AS first_utm_source) FROM u
 UNION ALL SELECT order_id, sales_channel, extracted_at FROM utm WHERE first_utm_source IS DISTINCT FROM 'google'
 """,
 )
+
+
+# The same changes on a table of months, of which only those with a touched row are rewritten.
+def by_month(x, df, date):
+    path = fresh_folder(x.spark, "months")
+    df.withColumn("month", F.trunc(date, "month")).repartition("month").write.partitionBy("month").parquet(path)
+    return path
+
+
+def months_after(x, path, change, *columns):
+    change(x.spark, path, "month")
+    return x.spark.read.parquet(path).select(*columns)
+
+
+query(
+    "update_touched_months",
+    lambda x: months_after(
+        x,
+        by_month(x, x.utm.select("order_id", "created_at", "sales_channel", "attribution_status"), "created_at"),
+        lambda spark, path, by: changes.update_partitions(
+            spark,
+            path,
+            by,
+            F.col("sales_channel").isin("tiktok") & (F.col("created_at") < F.lit("1995-01-01").cast("timestamp_ntz")),
+            {"attribution_status": F.lit("TIKTOK_SHOP")},
+        ),
+        "order_id",
+        "attribution_status",
+    ),
+    """
+SELECT order_id, if(ifnull(sales_channel, '') = 'tiktok' AND created_at < TIMESTAMP '1995-01-01', 'TIKTOK_SHOP',
+  attribution_status) AS attribution_status FROM utm
+""",
+)
+query(
+    "update_touched_months_from",
+    lambda x: months_after(
+        x,
+        by_month(x, x.utm.select("order_id", "created_at", F.lit(None).cast("string").alias("channel")), "created_at"),
+        lambda spark, path, by: changes.update_partitions_from(
+            spark,
+            path,
+            by,
+            x.utm.filter("created_at >= TIMESTAMP_NTZ '1997-01-01 00:00:00'").select("order_id", "sales_channel", "total_price"),
+            "order_id",
+            {"channel": F.col("src_sales_channel")},
+            F.col("src_total_price") > 100000,
+        ),
+        "order_id",
+        "channel",
+    ),
+    """
+SELECT order_id, CASE WHEN created_at >= TIMESTAMP '1997-01-01' AND total_price > 100000 THEN sales_channel END AS channel FROM utm
+""",
+)
+query(
+    "retention_drop_months",
+    lambda x: months_after(
+        x,
+        by_month(x, x.raw_ads.select("ad_id", "date_start", "account_id", "spend"), "date_start"),
+        lambda spark, path, by: changes.retention_drop(spark, path, by, AS_OF),
+        "ad_id",
+        "date_start",
+        "account_id",
+        "spend",
+    ),
+    "SELECT ad_id, date_start, account_id, spend FROM raw_ads WHERE date_trunc('month', date_start) >= DATE '2001-08-01' - 730",
+)
+query(
+    "merge_touched_months",
+    lambda x: months_after(
+        x,
+        by_month(x, x.utm.select("order_id", "sales_channel", "created_at"), "created_at"),
+        lambda spark, path, by: changes.merge_partitions(
+            spark,
+            path,
+            by,
+            x.utm.filter("created_at < TIMESTAMP_NTZ '1994-01-01 00:00:00'").select(
+                F.when(F.col("first_utm_source") == "google", F.col("order_id"))
+                .otherwise(F.concat(F.lit("new "), "order_id"))
+                .alias("order_id"),
+                F.lit("merged").alias("sales_channel"),
+                (F.col("created_at") + F.expr("INTERVAL 40 DAYS")).alias("created_at"),
+                F.trunc(F.col("created_at") + F.expr("INTERVAL 40 DAYS"), "month").alias("month"),
+            ),
+            "order_id",
+            ["created_at"],
+        ),
+        "order_id",
+        "sales_channel",
+        "created_at",
+    ),
+    """
+SELECT if(first_utm_source = 'google', '', 'new ') || order_id AS order_id, 'merged' AS sales_channel,
+  created_at + INTERVAL 40 DAY AS created_at
+FROM (SELECT * REPLACE (ifnull(first_utm_source, '') AS first_utm_source) FROM utm) WHERE created_at < TIMESTAMP '1994-01-01'
+UNION ALL SELECT order_id, sales_channel, created_at FROM utm
+WHERE first_utm_source IS DISTINCT FROM 'google' OR created_at >= TIMESTAMP '1994-01-01'
+""",
+)
 query(
     "query_parameter",
     lambda x: x.utm.groupBy(query_param("landing_site_ref_params", "utm_campaign").alias("utm_campaign")).agg(
