@@ -125,7 +125,8 @@ def without_repeats(
 
 
 def line_digest(docs: DataFrame) -> DataFrame:
-    found = dedup_lines(docs.select("doc_id", "text"))
+    """Runs of two lines and more count, and single lines of 20 words and more."""
+    found = dedup_lines(docs.select("doc_id", "text"), line_words=20)
     text = F.coalesce("kept_text", F.lit(""))
     return found.select(
         "record.doc_id",

@@ -1,8 +1,8 @@
 """Order-preserving packing of documents into sequences, by dynamic programming over cuts.
 
 Documents stand one after another in id order. A sequence is a stretch between two cuts of at most
-`length` tokens. Cuts at document ends are free, cuts at sentence ends and inside sentences cost
-a penalty in tokens of padding. With g(j) = cost(j) + j the best way to end at cut i is
+`length` tokens. Cuts at document ends are free, cuts at sentence ends cost a penalty in tokens of padding; a
+sentence is cut inside, for a higher one, only if it is longer than a sequence. With g(j) = cost(j) + j the best way to end at cut i is
 
     cost(i) = penalty(i) + length - i + min g(j) over cuts j in [i - length, i)
 
@@ -55,14 +55,16 @@ def best_cuts(places: np.ndarray, penalties: np.ndarray, length: int) -> np.ndar
 
 
 def candidate_cuts(ids: np.ndarray, doc_ends: np.ndarray, ends_sentence: np.ndarray, length: int, sentence: float, inside: float):
-    """Places to cut and their penalties: document ends, sentence ends, and a grid of places inside sentences.
+    """Places to cut and their penalties: document ends, sentence ends, and places inside sentences that are longer than a sequence.
 
-    The grid's step bounds the padding that a sentence, however long, can force on a sequence.
+    Such a sentence has to be cut somewhere; places `length` / 64 tokens apart bound the padding that it can force.
     """
     cost = np.full(len(ids) + 1, np.inf)
-    cost[:: max(1, length // 64)] = inside
     cost[1:][ends_sentence[ids]] = sentence
     cost[doc_ends] = cost[0] = cost[len(ids)] = 0.0
+    whole = np.flatnonzero(cost < np.inf)
+    for i in np.flatnonzero(np.diff(whole) > length).tolist():
+        cost[whole[i] + 1 : whole[i + 1]][:: max(1, length // 64)] = inside
     places = np.flatnonzero(cost < np.inf)
     return places, cost[places]
 

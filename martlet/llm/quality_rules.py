@@ -28,17 +28,17 @@ BLANKS = b" \t\n\x0b\x0c\r"
 @dataclass(frozen=True)
 class Rules:
     """Limits. A text fails the base rules by too few words or too many in repeated windows, and the
-    repetition rule if repeats of at least `min_repeat` words cover more than `most_covered` of it, or one repeat is
-    longer than `longest_share` of its words (and than `longest_words`). A line of a site's frame at the top and
-    the bottom of a text is shorter than `min_repeat` and no fault."""
+    repetition rule if repeats of at least `min_repeat` words cover more than `most_covered_percent` of it, or one repeat is
+    longer than `longest_percent` of its words (and than `longest_words`). Both lie well below what the base rules let pass. A line of a
+    site's frame at the top and the bottom of a text is shorter than `min_repeat` and no fault."""
 
     min_words: int = 10
     window: int = 5
     most_repeat_percent: int = 20
-    min_repeat: int = 20
-    most_covered: float = 0.15
-    longest_share: float = 0.10
-    longest_words: int = 50
+    min_repeat: int = 10
+    most_covered_percent: int = 10
+    longest_percent: int = 3
+    longest_words: int = 10
 
 
 def longest_repeats(words: np.ndarray, text: np.ndarray) -> np.ndarray:
@@ -132,8 +132,8 @@ def measure(texts: list[str | None], rules: Rules) -> dict[str, np.ndarray]:
     out["longest_repeat"] = np.zeros(len(texts), dtype=np.int64)
     np.maximum.at(out["longest_repeat"], owner, longest)
     out["base_failed"] = (counts < rules.min_words) | (100 * out["n_repeat_words"] > rules.most_repeat_percent * counts)
-    repetitive = (out["n_covered_words"] > rules.most_covered * counts) | (
-        (out["longest_repeat"] > rules.longest_share * counts) & (out["longest_repeat"] > rules.longest_words)
+    repetitive = (100 * out["n_covered_words"] > rules.most_covered_percent * counts) | (
+        (100 * out["longest_repeat"] > rules.longest_percent * counts) & (out["longest_repeat"] > rules.longest_words)
     )
     out["kept"] = ~out["base_failed"] & ~repetitive
     return out

@@ -90,13 +90,13 @@ SQL = {
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
         p AS (SELECT doc_id, w, len(w) AS n, unnest(range(len(w))) AS i FROM d),
         five AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i + 1 : i + 5]) AS k FROM p WHERE i + 5 <= n),
-        twenty AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i + 1 : i + 20]) AS k FROM p WHERE i + 20 <= n),
+        ten AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i + 1 : i + 10]) AS k FROM p WHERE i + 10 <= n),
         repeats AS (SELECT doc_id, count(DISTINCT i + o) AS c FROM five, range(5) AS t(o) WHERE k > 1 GROUP BY doc_id),
-        covers AS (SELECT doc_id, count(DISTINCT i + o) AS c FROM twenty, range(20) AS t(o) WHERE k > 1 GROUP BY doc_id),
+        covers AS (SELECT doc_id, count(DISTINCT i + o) AS c FROM ten, range(10) AS t(o) WHERE k > 1 GROUP BY doc_id),
         over_limit AS (
             SELECT DISTINCT doc_id FROM (
                 SELECT doc_id, count(*) OVER (PARTITION BY doc_id, w[i + 1 : i + limit_]) AS k
-                FROM (SELECT *, greatest(50, n // 10) + 1 AS limit_ FROM p) WHERE i + limit_ <= n
+                FROM (SELECT *, greatest(10, 3 * n // 100) + 1 AS limit_ FROM p) WHERE i + limit_ <= n
             ) WHERE k > 1
         ),
         dup_lines AS (
@@ -115,7 +115,7 @@ SQL = {
         ),
         f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_covered_words, base_failed,
-            NOT (base_failed OR n_covered_words > 0.15 * n_words OR long_repeat) AS kept
+            NOT (base_failed OR 100 * n_covered_words > 10 * n_words OR long_repeat) AS kept
         FROM f
     """,
     "op4_line_dedup": r"""
@@ -128,7 +128,14 @@ SQL = {
             SELECT doc_id, pos, row_number() OVER (PARTITION BY line, after ORDER BY doc_id, pos) > 1 AS later
             FROM w WHERE after IS NOT NULL AND regexp_matches(line || after, '[^\x20\x09-\x0D]')
         ),
-        gone AS (SELECT DISTINCT doc_id, pos + o AS pos FROM s, range(2) AS t(o) WHERE later),
+        long_lines AS (
+            SELECT doc_id, pos, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) > 1 AS later
+            FROM l WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 20
+        ),
+        gone AS (
+            SELECT doc_id, pos + o AS pos FROM s, range(2) AS t(o) WHERE later
+            UNION SELECT doc_id, pos FROM long_lines WHERE later
+        ),
         k AS (
             SELECT doc_id, count(*) AS n_kept, string_agg(line, chr(10) ORDER BY pos) AS kept
             FROM l ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id

@@ -302,6 +302,22 @@ def test_cuts_are_the_best():
         assert total(packing.best_cuts(places, penalties, 10).tolist()) == best
 
 
+def test_sentences_are_cut_inside_only_if_longer_than_a_sequence():
+    rng = np.random.default_rng(3)
+    for length in (8, 64, 300):
+        ids = rng.choice(40, size=6000)
+        ids[1000:1700] = 1
+        ends_sentence = np.arange(40) == 7
+        doc_ends = np.sort(rng.choice(np.arange(1, 6001), size=20, replace=False))
+        places, penalties = packing.candidate_cuts(ids, doc_ends, ends_sentence, length, 2.0, 8.0)
+        whole = np.unique(np.r_[0, doc_ends, np.flatnonzero(ids == 7) + 1, 6000])
+        assert set(whole) <= set(places.tolist()) and np.diff(places).max() <= length
+        for place in set(places.tolist()) - set(whole.tolist()):
+            k = np.searchsorted(whole, place)
+            assert whole[k] - whole[k - 1] > length
+        assert (penalties[np.isin(places, doc_ends)] == 0).all() and set(penalties) <= {0.0, 2.0, 8.0}
+
+
 # ------------------------------------------------------------------------ line dedup
 @pytest.mark.parametrize("width", [1, 2, 3, 5])
 def test_line_dedup(spark, rows, width):

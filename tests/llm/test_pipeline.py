@@ -63,16 +63,16 @@ def test_quality_stage_judges_repeats_that_pass_the_base_rules(spark):
         out = sum(parts, [])
         return " ".join(out + words(n - len(out)))
 
-    frame = words(12)
+    frame = words(9)
     given = {
         1: (text(2000, 80), False),  # 8 % covered, the run 4 %
         2: (text(2000, 60), False),  # a run of 3 % is no fault
         3: (text(3000, 91), False),
-        4: (text(1000, 50), False),  # 50 words and 10 % covered are no fault
-        5: (text(1000, 51), False),
+        4: (text(300, 10), False),  # neither is one of 10 words
+        5: (text(300, 11), False),
         6: (text(2000, *[30] * 4), False),  # 12 % covered by runs of 1.5 %
-        7: (text(2000, *[19] * 6), False),  # as much by runs of under 20 words
-        8: (text(300, 22), False),  # 14.7 % covered
+        7: (text(2000, *[9] * 12), False),  # as much by runs of under 10 words
+        8: (text(180, 10), False),  # 11 % covered
         9: (" ".join(frame + words(130) + frame), False),  # a site's line at the top and the bottom
         10: (text(2000, 210), True),
     }
@@ -81,9 +81,9 @@ def test_quality_stage_judges_repeats_that_pass_the_base_rules(spark):
     assert {i: r.base_failed for i, r in rated.items()} == {i: failed for i, (_, failed) in given.items()}
     kept = {r.doc_id: r.text for r in corpus_pipeline.good(spark, docs, "").collect()}
     assert kept == {i: given[i][0] for i in (2, 4, 7, 9)}
-    by_share = {i for i, r in rated.items() if not r.base_failed and r.longest_repeat > max(50, 0.03 * r.n_words)}
-    by_cover = {i for i, r in rated.items() if not r.base_failed and r.n_covered_words > 0.10 * r.n_words}
-    assert (by_share - by_cover, by_cover - by_share) == ({1, 3}, {6, 8})
+    by_share = {i for i, r in rated.items() if not r.base_failed and r.longest_repeat > 10 and 100 * r.longest_repeat > 3 * r.n_words}
+    by_cover = {i for i, r in rated.items() if not r.base_failed and 10 * r.n_covered_words > r.n_words}
+    assert (by_share - by_cover, by_cover - by_share) == ({1, 3, 5}, {6, 8})
 
 
 def good_by_hand(text):
@@ -93,8 +93,8 @@ def good_by_hand(text):
         seen = Counter(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
         return {k for i in range(len(words) - n + 1) if seen[tuple(words[i : i + n])] > 1 for k in range(i, i + n)}
 
-    longest = max(50, int(0.03 * len(words))) + 1
-    return len(words) >= 10 and 100 * len(repeated(5)) <= 20 * len(words) and len(repeated(20)) <= 0.10 * len(words) and not repeated(longest)
+    longest = max(10, 3 * len(words) // 100) + 1
+    return len(words) >= 10 and 100 * len(repeated(5)) <= 20 * len(words) and 10 * len(repeated(10)) <= len(words) and not repeated(longest)
 
 
 def near_by_hand(docs):
