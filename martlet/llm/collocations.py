@@ -29,6 +29,8 @@ LONGEST = 5
 # Counters of one summary that a hash partition is laid out for (16 bytes each).
 COUNTERS = 1 << 20
 SLICE_BYTES = 4 << 20
+# Counts that a task holds to add up before it gives them out.
+HELD = 1 << 20
 
 ENDS = np.isin(np.arange(256), np.frombuffer(PIECE_ENDS, dtype=np.uint8))
 IN_WORD = ~(ENDS | np.isin(np.arange(256), np.frombuffer(BLANKS, dtype=np.uint8)))
@@ -124,6 +126,15 @@ def _of_lengths(found: Phrases, longest: int, filters: list[Filter]) -> Iterator
 
 
 # ----------------------------------------------------------------- Misra-Gries summaries
+def _added_up(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes, ascending, with the sums of their counts."""
+    h, c = np.concatenate(hashes), np.concatenate(counts)
+    order = np.argsort(h, kind="stable")
+    h, c = h[order], c[order]
+    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, dtype=np.int64)
+    return h[first], np.add.reduceat(c, first) if len(first) else c
+
+
 class MisraGries:
     """Counts that are at most `short` too low, in at most `capacity` counters. Adding counts and merging are the same."""
 
@@ -142,13 +153,8 @@ class MisraGries:
     def merge(self) -> None:
         if not self.waiting:
             return
-        hashes = np.concatenate([self.hashes, *(h for h, _ in self.waiting)])
-        counts = np.concatenate([self.counts, *(c for _, c in self.waiting)])
+        hashes, counts = _added_up([self.hashes, *(h for h, _ in self.waiting)], [self.counts, *(c for _, c in self.waiting)])
         self.waiting, self.n_waiting = [], 0
-        order = np.argsort(hashes, kind="stable")
-        hashes, counts = hashes[order], counts[order]
-        first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]]) if len(hashes) else np.zeros(0, dtype=np.int64)
-        hashes, counts = hashes[first], np.add.reduceat(counts, first) if len(first) else counts
         if len(counts) > self.capacity:
             less = int(np.partition(counts, -self.capacity - 1)[-self.capacity - 1])
             self.short += less
@@ -164,26 +170,37 @@ class MisraGries:
 def _survivors(texts: DataFrame, threshold: int, shortest: int, longest: int, filters: list[Filter], parts: int) -> DataFrame:
     """Hashes (h) of the phrases of some lengths that may reach the threshold; none that does is missing."""
 
+    def rows(summed: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        h, c = summed
+        part = ((h >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        h, c, part = h[order], c[order], part[order]
+        cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.zeros(0, dtype=np.int64)
+        ends = np.r_[cuts[1:], len(part)]
+        return pa.RecordBatch.from_pydict({
+            "part": pa.array(part[cuts], pa.int64()),
+            "mass": pa.array([int(c[a:b].sum()) for a, b in zip(cuts, ends)], pa.int64()),
+            "hashes": pa.array([h[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+            "counts": pa.array([c[a:b].astype("<i8").tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+        })
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A task's counts are added up over its slices before they go out, as far as a bounded buffer reaches."""
+        hashes, counts, held = [], [], 0
         for some in _phrases(batches):
-            hashes, counts = [], []
             for found in _of_lengths(some, longest, filters):
-                if found.length >= shortest:
-                    # Only phrases whose own parts passed get here; of single words, all.
+                if found.length >= shortest:  # only phrases whose own parts passed get here; of single words, all
                     hashes.append(found.hash)
                     counts.append(found.count)
-            h, c = np.concatenate(hashes), np.concatenate(counts)
-            part = ((h >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            h, c, part = h[order], c[order], part[order]
-            cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.zeros(0, dtype=np.int64)
-            ends = np.r_[cuts[1:], len(part)]
-            yield pa.RecordBatch.from_pydict({
-                "part": pa.array(part[cuts], pa.int64()),
-                "mass": pa.array([int(c[a:b].sum()) for a, b in zip(cuts, ends)], pa.int64()),
-                "hashes": pa.array([h[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-                "counts": pa.array([c[a:b].astype("<u4").tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-            })
+                    held += len(found.hash)
+            if held > HELD:
+                summed = _added_up(hashes, counts)
+                if len(summed[0]) > HELD // 2:
+                    yield rows(summed)
+                    summed = summed[0][:0], summed[1][:0]
+                hashes, counts, held = [summed[0]], [summed[1]], len(summed[0])
+        if held:
+            yield rows(_added_up(hashes, counts))
 
     counted = land(texts.mapInArrow(count, "part long, mass long, hashes binary, counts binary"), "phrase-counts")
     # A row with the mass of the whole partition goes first, as it says how many counters are needed.
@@ -204,7 +221,7 @@ def _survivors(texts: DataFrame, threshold: int, shortest: int, longest: int, fi
                         yield _as_batch(summary.reaching(threshold))
                     summary = MisraGries(mass // threshold + 1)
                 else:
-                    summary.add(np.frombuffer(hashes, dtype="<u8"), np.frombuffer(counts, dtype="<u4").astype(np.int64))
+                    summary.add(np.frombuffer(hashes, dtype="<u8"), np.frombuffer(counts, dtype="<i8"))
         if summary is not None:
             yield _as_batch(summary.reaching(threshold))
 
@@ -236,19 +253,34 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
             filters.append(Filter(_survivors(texts, threshold, shortest, min(upto, longest), filters, parts), "h"))
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n_held = [], 0
         for some in _phrases(batches):
             for found in _of_lengths(some, longest, [*filters, *filters[-1:] * longest]):
                 chosen = np.flatnonzero(filters[min(found.length, len(filters)) - 1].has(found.hash))
                 langs, phrases = found.texts(chosen)
-                yield pa.RecordBatch.from_pydict({
-                    "lang": pa.array(langs, pa.string()), "n_words": pa.array([found.length] * len(chosen), pa.int32()),
-                    "phrase": pa.array(phrases, pa.string()), "f": pa.array(found.count[chosen], pa.int64()),
-                })
+                lengths = pa.array(np.full(len(chosen), found.length), pa.int32())
+                columns = [pa.array(langs, pa.string()), lengths, pa.array(phrases, pa.string()), pa.array(found.count[chosen], pa.int64())]
+                held.append(pa.Table.from_arrays(columns, names=["lang", "n_words", "phrase", "f"]))
+                n_held += len(chosen)
+            if n_held > HELD // 2:
+                summed = _added_up_rows(held)
+                if summed.num_rows > HELD // 4:
+                    yield from summed.to_batches(HELD // 16)
+                    summed = summed.slice(0, 0)
+                held, n_held = [summed], summed.num_rows
+        if held:
+            yield from _added_up_rows(held).to_batches(HELD // 16)
 
     counted = texts.mapInArrow(exact, "lang string, n_words int, phrase string, f long")
     return counted.groupBy("lang", "n_words", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= threshold)
 
 
+def _added_up_rows(tables: list[pa.Table]) -> pa.Table:
+    keys = ["lang", "n_words", "phrase"]
+    summed = pa.concat_tables(tables).group_by(keys, use_threads=False).aggregate([("f", "sum")])
+    return summed.select([*keys, "f_sum"]).rename_columns([*keys, "f"])
+
+
 def word_totals(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, n): all word occurrences of each language; the languages without a word are left out."""
     words = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"[^\x20\x09.,;:!?\x0A-\x0D]+"))

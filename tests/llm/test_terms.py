@@ -81,6 +81,7 @@ def test_collocations(spark, texts, best):
 def test_collocations_of_full_summaries(spark, texts, monkeypatch):
     """Summaries that are a few counters large drop most phrases, and none that is frequent."""
     monkeypatch.setattr(collocations, "SLICE_BYTES", 500)
+    monkeypatch.setattr(collocations, "HELD", 64)
     got = collocations.collocations(table(spark, texts).repartition(5), threshold=40, best=None, share=60)
     assert rows_of(got) == brute_collocations(texts, 40, None, share=60)
 
