@@ -74,7 +74,7 @@ def reclassify_from_extract(utm: DataFrame, extract: DataFrame) -> DataFrame:
     hit = (F.col("attribution_status") == UNKNOWN) & F.col("_hit")
     e = extract.select(F.col("order_id").alias("_extract_id"), "channel_handle", F.lit(True).alias("_hit"))
     return (
-        left_join_spread(utm, e, "order_id", "_extract_id", "created_at")
+        left_join_spread(utm, e, "order_id", "_extract_id")
         .withColumn("sales_channel", F.when(hit, handle).otherwise(F.col("sales_channel")))
         .withColumn("attribution_status", F.when(hit, found).otherwise(F.col("attribution_status")))
         .drop("channel_handle", "_hit")

@@ -215,7 +215,7 @@ def ad_unified_google(stats: DataFrame, campaigns: DataFrame) -> DataFrame:
     shown, clicks, conv = (F.col(f"metrics_{c}") for c in ("impressions", "clicks", "conversions"))
     value = F.col("metrics_conversions_value")
     dated = stats.filter(F.col("segments_date").isNotNull())
-    joined = left_join_spread(dated, campaigns.withColumnRenamed("campaign_id", "_campaign"), "campaign_id", "_campaign", "segments_date")
+    joined = left_join_spread(dated, campaigns.withColumnRenamed("campaign_id", "_campaign"), "campaign_id", "_campaign")
     return joined.select(
         _row_id(F.col("segments_date"), "_", _known(F.col("campaign_id"))).alias("ga_row_id"),
         F.col("segments_date").alias("date"),

@@ -9,6 +9,7 @@ from martlet.functions import as_date, digits, divide, hash_pii, json_decimal, m
 from martlet.operators.conform import attribution_channel, order_flags
 from martlet.operators.dedup import dedup_latest
 from martlet.operators.joins import left_join_spread
+from martlet.sources.tables import write_bucketed
 
 
 # ------------------------------------------------------------- children per order
@@ -119,17 +120,23 @@ def utm_attribution(utm: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------- unified orders
+def order_key() -> Column:
+    """The numeric id of an order; one without any (marketplace orders have other names) gets a negative number of its own."""
+    own = -1 - F.pmod(F.xxhash64("order_id"), F.lit((1 << 63) - 1))
+    return F.coalesce(F.col("order_id_numeric"), own)
+
+
 def _with_child(orders: DataFrame, child: DataFrame) -> DataFrame:
     """Left join of a table with a row per order, on the numeric id.
 
-    Orders without one (marketplace orders have other names) match nothing and are spread by their own id: `_order`
-    is the numeric id, or a text no number equals. All children join on it, so they share one partitioning.
+    Numeric ids are read from runs of digits, so none is negative: orders without one match nothing and are spread by
+    their own id. All sides keep the number itself as their key: a child that was grouped by it, or is stored in
+    buckets of it, is joined where it lies, and the orders move once for all children.
     """
     if "_order" not in orders.columns:
-        own = F.concat(F.lit("none:"), F.col("order_id").cast("string"))
-        orders = orders.withColumn("_order", F.coalesce(F.col("order_id_numeric").cast("string"), own))
-    keyed = child.filter(F.col("order_id_numeric").isNotNull()).withColumn("_order", F.col("order_id_numeric").cast("string"))
-    return orders.join(keyed.drop("order_id_numeric"), "_order", "left")
+        orders = orders.withColumn("_order", order_key())
+    keyed = child.filter(F.col("order_id_numeric") >= 0).withColumnRenamed("order_id_numeric", "_order")
+    return orders.join(keyed, "_order", "left")
 
 
 def one_customer_per_hash(customers: DataFrame) -> DataFrame:
@@ -163,6 +170,10 @@ def shopify_unified(
     )
     for child in (items, transactions, utm.drop("utm_extracted_at"), refunds):
         joined = _with_child(joined, child)
+    return _flagged(joined)
+
+
+def _flagged(joined: DataFrame) -> DataFrame:
     return order_flags(joined.drop("_order")).withColumns(
         {
             "items_count": F.coalesce("items_count", F.lit(0).cast("bigint")),
@@ -171,6 +182,39 @@ def shopify_unified(
     )
 
 
+def store_order_tables(
+    orders: DataFrame,
+    items: DataFrame,
+    transactions: DataFrame,
+    utm: DataFrame,
+    refunds: DataFrame,
+    prefix: str,
+    buckets: int,
+) -> dict[str, DataFrame]:
+    """Orders and their children as catalogue tables `<prefix>_<part>`, in equal buckets of the order's numeric id.
+
+    Storing them costs a shuffle each, once. Whatever joins them on the id afterwards, `shopify_unified_stored` above
+    all, moves none of them, today or on any later run. Choose `buckets` so that one bucket fits a task.
+    """
+    stored = {"orders": write_bucketed(orders.withColumn("_order", order_key()), f"{prefix}_orders", "_order", buckets)}
+    children = {"items": items, "transactions": transactions, "utm": utm, "refunds": refunds}
+    for part, child in children.items():
+        stored[part] = write_bucketed(child, f"{prefix}_{part}", "order_id_numeric", buckets)
+    return stored
+
+
+def shopify_unified_stored(stored: dict[str, DataFrame], customers: DataFrame) -> DataFrame:
+    """`shopify_unified` (all customers of a hash) over the tables of `store_order_tables`.
+
+    The children come first here: they lie in the orders' own buckets, so the only shuffle is that of the customer join.
+    """
+    joined = stored["orders"]
+    for child in (stored["items"], stored["transactions"], stored["utm"].drop("utm_extracted_at"), stored["refunds"]):
+        joined = _with_child(joined, child)
+    c = customers.drop("customer_last_sync_at")
+    return _flagged(left_join_spread(joined, c, "order_email_hash", "customer_email_hash", "order_id"))
+
+
 def shopify_unified_consistent(
     orders: DataFrame,
     customers: DataFrame,

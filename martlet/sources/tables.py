@@ -46,6 +46,16 @@ def publish_table(
     return spark.table(name)
 
 
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Create or replace the catalogue table `name` in `buckets` buckets of `key`, sorted by it, a file per bucket.
+
+    Tables with equal buckets join and group on `key` without a shuffle. Rows with equal keys lie in one bucket, so a
+    key that many rows share (NULL too) must be spread or added up before.
+    """
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def versions(spark: SparkSession, name: str) -> list[str]:
     """The tables behind a published name, oldest first."""
     *schema, table = name.split(".")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from martlet.functions import query_param
@@ -55,6 +57,18 @@ SHOP_MONEY = ", ".join(
     )
 )
 query("shopify_unified", lambda x: x.shop, f"SELECT * REPLACE ({SHOP_MONEY}) FROM shop")
+
+
+def stored_shop(x):
+    """The unified orders over tables in buckets of the order id."""
+    parts = x.shop_parts()
+    customers = parts.pop("customers")
+    buckets = int(x.spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = unify.store_order_tables(**parts, prefix=f"shop_{uuid.uuid4().hex}", buckets=buckets)
+    return unify.shopify_unified_stored(stored, customers)
+
+
+query("shopify_unified_stored", stored_shop, f"SELECT * REPLACE ({SHOP_MONEY}) FROM shop")
 query(
     "shopify_unified_one_customer",
     lambda x: unify.shopify_unified(**x.shop_parts(), customer_match="latest"),
