@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 
 def read_table(spark: SparkSession, folder: str, name: str, schema: StructType | str | None = None) -> DataFrame:
@@ -77,16 +77,19 @@ def stage_with_schema(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(c).cast(kind).alias(c) for c, kind in schema.items()])
 
 
-def sync_write(df: DataFrame, path: str, cursor: str | None = None) -> DataFrame:
+def sync_write(df: DataFrame, path: str, cursor: str | None = None, by_day: bool = False) -> DataFrame:
     """Write as a sync does: with a cursor whatever is not stored yet is appended, without one the table is replaced.
 
     A row is stored if an equal one is. Late and revised rows, and rows at the stored maximum, are
     appended like any other, so nothing is lost; `dedup_latest` takes the latest version on reading. Of the stored
-    rows only those from the lowest arriving cursor on are read for the comparison.
+    rows only those from the lowest arriving cursor on are read for the comparison; with `by_day` the store has a
+    folder per day of the cursor, and only those of arriving days are read, so one very late row costs its own day.
     """
     spark = df.sparkSession
     if cursor is None:
         return write_table(df, path)
+    if by_day:
+        return _sync_days(df, path, cursor)
     stored = stored_table(spark, path)
     if stored is not None:
         lowest = df.agg(F.min(cursor)).first()[0]
@@ -99,10 +102,35 @@ def sync_write(df: DataFrame, path: str, cursor: str | None = None) -> DataFrame
     return spark.read.parquet(path)
 
 
-def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+CURSOR_DAY = "cursor_day"
+
+
+def _sync_days(df: DataFrame, path: str, cursor: str) -> DataFrame:
+    """`sync_write` into a folder per day; rows without a cursor have a folder of their own.
+
+    Equal rows have equal days, so those of other days need no look. The driver learns which days arrive, at most
+    one value per day of the calendar, and Spark leaves all other folders unread.
+    """
+    spark = df.sparkSession
+    kind = StructType([*df.schema.fields, StructField(CURSOR_DAY, DateType())])
+    dated = df.withColumn(CURSOR_DAY, F.col(cursor).cast("date"))
+    old = stored_table(spark, path, kind)
+    if old is not None:
+        days = [r[0] for r in dated.select(CURSOR_DAY).distinct().collect()]
+        touched = F.col(CURSOR_DAY).isin([d for d in days if d is not None])
+        if None in days:
+            touched = touched | F.col(CURSOR_DAY).isNull()
+        same = [F.col(f"new.`{c}`").eqNullSafe(F.col(f"old.`{c}`")) for c in dated.columns]
+        dated = dated.alias("new").join(old.filter(touched).alias("old"), same, "left_anti")
+    # A file or a few per day: Spark splits a large day and puts small ones together.
+    dated.hint("rebalance", CURSOR_DAY).write.mode("append").partitionBy(CURSOR_DAY).parquet(path)
+    return spark.read.schema(kind).parquet(path).drop(CURSOR_DAY)
+
+
+def stored_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     """The table at `path`, or None if there is none yet."""
     try:
-        return spark.read.parquet(path)
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

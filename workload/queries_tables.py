@@ -213,6 +213,16 @@ def two_syncs(x):
 
 query("sync_write", two_syncs, "SELECT * FROM web_events")
 
+
+def two_syncs_by_day(x):
+    """As `two_syncs`, into a store with a folder per day."""
+    folder = fresh_folder(x.spark, "sync")
+    tables.sync_write(x.web_events.filter(F.col("ts") >= as_timestamp("2024-01-15 00:00:00")), folder, "ts", by_day=True)
+    return tables.sync_write(x.web_events, folder, "ts", by_day=True)
+
+
+query("sync_write_by_day", two_syncs_by_day, "SELECT * FROM web_events")
+
 # -------------------------------------------------------------------- deduplication
 AD_TYPES = "SELECT * REPLACE (tie4::DOUBLE AS tie4) FROM"
 query(
