@@ -167,6 +167,19 @@ def write_tokens(
     return path
 
 
+def segment_starts(files: DataFrame) -> DataFrame:
+    """(part, segment, base): how many ids lie before each segment."""
+    # Ids before a segment: those of earlier parts, a row for each of Spark's partitions, and of earlier segments of its part.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    parts = files.groupBy("part").agg(F.sum("n_tokens").alias("n")).select("part", F.sum("n").over(before).alias("earlier"))
+    return (
+        files.select("part", "segment", F.sum("n_tokens").over(inside).alias("inner"))
+        .join(parts, "part")
+        .select("part", "segment", (F.coalesce("earlier", F.lit(0)) + F.coalesce("inner", F.lit(0))).alias("base"))
+    )
+
+
 def read_tokens(spark, path: str) -> DataFrame:
     """Read token files back: (doc_id, start, n_tokens, ids_crc32) per document, start counting all ids before it."""
 
@@ -190,19 +203,52 @@ def read_tokens(spark, path: str) -> DataFrame:
     files = spark.read.schema(SEGMENT).parquet(path)
     kind = "part int, segment int, within long, doc_id long, n_tokens long, ids_crc32 long"
     documents = files.mapInArrow(run, kind)
-    # Ids before a segment: those of earlier parts, a row for each of Spark's partitions, and of earlier segments of its part.
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    inside = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    parts = files.groupBy("part").agg(F.sum("n_tokens").alias("n")).select("part", F.sum("n").over(before).alias("earlier"))
-    starts = (
-        files.select("part", "segment", F.sum("n_tokens").over(inside).alias("inner"))
-        .join(parts, "part")
-        .select("part", "segment", (F.coalesce("earlier", F.lit(0)) + F.coalesce("inner", F.lit(0))).alias("base"))
-    )
+    starts = segment_starts(files)
     return documents.join(starts, ["part", "segment"]).select(
         "doc_id", (F.col("base") + F.col("within")).alias("start"), "n_tokens", "ids_crc32"
     )
 
 
+def tokens_at(places: DataFrame, path: str, place_col: str = "place", block: int = 1 << 20) -> DataFrame:
+    """(place, token) per row of `places`: the ids at these places of the whole sequence in the token files at `path`.
+
+    Each id is addressed in its segment's codes: a chunk and one rank step per level, no other id is decoded. The list of
+    segments says where a place lies; it is joined on blocks of `block` places, as no table of all places exists. A segment is
+    opened once, with all the places asked of it (at most one per id). The scan still passes over the segments that nobody
+    asks for; they are dropped by the join, unopened.
+
+    A null place, or one before the first or behind the last id, gives a null token. Repeated places are answered each. Other
+    columns are ignored.
+    """
+    spark = places.sparkSession
+    asked = places.select(F.col(f"`{place_col}`").cast("long").alias("place"))
+    files = spark.read.schema(SEGMENT).parquet(path)
+    sizes = files.select("part", "segment", "n_tokens")
+    spans = sizes.join(segment_starts(files), ["part", "segment"]).filter("n_tokens > 0")
+    ends = F.col("base") + F.col("n_tokens")
+    first, last = F.floor(F.col("base") / block), F.floor((ends - 1) / block)
+    blocks = spans.select("part", "segment", "base", ends.alias("end"), F.explode(F.sequence(first, last)).alias("block"))
+    found = (
+        asked.filter("place >= 0")
+        .distinct()
+        .withColumn("block", F.floor(F.col("place") / block))
+        .join(blocks, "block")
+        .filter("place >= base AND place < end")
+        .groupBy("part", "segment", "base")
+        .agg(F.collect_list("place").alias("places"))
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                codes = Codes.from_bytes(batch.column(0)[row].as_py())
+                base, wanted = batch.column(1)[row].as_py(), batch.column(2)[row].values
+                ids = [codes.token(i) for i in (wanted.to_numpy() - base).tolist()]
+                yield pa.RecordBatch.from_arrays([wanted, pa.array(ids, pa.int64())], names=["place", "token"])
+
+    opened = files.select("part", "segment", "codes").join(found, ["part", "segment"]).select("codes", "base", "places")
+    return asked.join(opened.mapInArrow(run, "place long, token long"), "place", "left")
+
+
 def token_digest(docs: DataFrame, tokenizer: str) -> DataFrame:
     return read_tokens(docs.sparkSession, write_tokens(docs, tokenizer, spaced=False, end_id=2))
