@@ -109,6 +109,27 @@ def _table(spark: SparkSession, path: str, by: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def settle(spark: SparkSession, path: str, by: str) -> None:
+    """Bring a change of the table at `path` to its end that was lost between its two writes; ask this before reading what a change builds on."""
+    _swap_in(spark, path, by, _aside(path))
+
+
+def rewrite_partitions(spark: SparkSession, path: str, by: str, values: Sequence, rows: DataFrame) -> None:
+    """Make `rows` the whole content of the partitions `values` of the table at `path`; a partition they leave without rows is dropped.
+
+    Rows of other partitions are refused. `rows` may read from the table, after `settle`.
+    """
+    # As a value and not as a filter: Spark would also ask the folders that another filter has ruled out.
+    outside = F.raise_error(F.concat(F.lit(f"a row of another {by}: "), F.coalesce(F.col(by).cast("string"), F.lit("none"))))
+    checked = F.when(F.coalesce(_in(by, values), F.lit(False)), F.col(by)).otherwise(outside.cast(rows.schema[by].dataType))
+    rows.withColumn(by, checked).write.mode("overwrite").parquet(_aside(path))
+    left = _values(spark.read.schema(rows.schema).parquet(_aside(path)), by)
+    held = _values(spark.read.parquet(path).select(by), by) if _exists(spark, path) else []
+    _swap_in(spark, path, by, _aside(path))
+    for value in (v for v in held if v in values and v not in left):
+        _delete(spark, f"{path.rstrip('/')}/{by}={NO_VALUE if value is None else value}")
+
+
 def replace_partitions(spark: SparkSession, path: str, by: str, rows: DataFrame, key: Sequence[str], aside: str) -> None:
     """Insert-or-replace `rows` by `key` into the table at `path`, whose partitions are days or the like; a key stays in its partition.
 

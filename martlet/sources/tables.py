@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import BooleanType, DateType, DecimalType, NumericType, StructField, StructType
 
 
 def read_table(spark: SparkSession, folder: str, name: str, schema: StructType | str | None = None) -> DataFrame:
@@ -164,6 +164,55 @@ def table_stats(spark: SparkSession, paths: Mapping[str, str], name_like: str |
     return out if name_like is None else out.filter(F.col("table_name").like(name_like))
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session beside `spark` in which counts come from Parquet footers: its readers are those that take aggregates.
+
+    The settings belong to the new session, so plans of the caller's session stay as they are. Its DataFrames cannot be joined with the caller's.
+    """
+    beside = spark.newSession()
+    v1 = (name.strip() for name in beside.conf.get("spark.sql.sources.useV1SourceList").split(","))
+    beside.conf.set("spark.sql.sources.useV1SourceList", ",".join(name for name in v1 if name != "parquet"))
+    beside.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    beside.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return beside
+
+
+def footer_counts(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """Rows per table, from file footers alone: no column and no page of rows is read. A table without rows or files counts zero.
+
+    The result belongs to `footer_session`.
+    """
+    beside = footer_session(spark)
+    # A file without rows has no count in its footer, and Spark then gives NULL for the whole count: each table has a zero to start with.
+    kind = "table_name string, row_count long"
+    out = beside.createDataFrame([(name, 0) for name in paths], kind)
+    for name, path in paths.items():
+        one = beside.read.parquet(path).agg(F.count("*").alias("row_count"))
+        out = out.unionByName(one.select(F.lit(name).alias("table_name"), "row_count"))
+    return out.groupBy("table_name").agg(F.sum("row_count").alias("row_count"))
+
+
+def footer_ranges(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """Least and greatest value of `columns` of a table, from footers alone: one row per column, values as text, NULL if there is none.
+
+    For numbers, dates and booleans, whose footers hold exact bounds; of other types Spark takes no bounds from a footer, and this refuses them.
+    """
+    beside = footer_session(spark)
+    df = beside.read.parquet(path)
+    exact = (NumericType, DateType, BooleanType)
+    for c in columns:
+        if not isinstance(df.schema[c].dataType, exact) or isinstance(df.schema[c].dataType, DecimalType):
+            raise ValueError(f"{c}: footers hold no exact bounds of {df.schema[c].dataType.simpleString()}")
+    bounds = [f(c).alias(f"{kind}_{i}") for i, c in enumerate(columns) for kind, f in (("min", F.min), ("max", F.max))]
+    one = df.agg(*bounds)
+    text = lambda kind, i: F.col(f"{kind}_{i}").cast("string")
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), text("min", i).alias("min_value"), text("max", i).alias("max_value"))
+        for i, c in enumerate(columns)
+    ]
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def describe_schema(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
     rows = [
         (name, i, f.name, f.dataType.simpleString(), f.nullable)

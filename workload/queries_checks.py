@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from martlet.functions import as_timestamp, digits
-from martlet.operators import checks, conform, monitor, quality, reconcile, unify
+from martlet.operators import checks, conform, digests, monitor, quality, reconcile, unify
 from martlet.sources import tables
 from martlet.streaming import streams
 from workload.inputs import AS_OF, BASELINE_AS_OF, EVENTS_AS_OF
@@ -699,9 +699,9 @@ WHERE created_at::DATE BETWEEN {DAY} - 16 AND {DAY} - 2
 )
 
 
-def renumbered(orders, limit):
+def renumbered(orders, limit, *others):
     """Ids of all orders; those up to a price came under another id."""
-    return orders.select(F.when(F.col("total_price") > limit, F.col("id")).otherwise(-F.col("id") - 1).alias("id"))
+    return orders.select(F.when(F.col("total_price") > limit, F.col("id")).otherwise(-F.col("id") - 1).alias("id"), *others)
 
 
 query(
@@ -717,6 +717,71 @@ FROM (SELECT if(total_price > 1000, id, -id - 1) AS id FROM order_history) a FUL
   (SELECT if(total_price > 2000, id, -id - 1) AS id FROM clean_orders) b ON a.id = b.id WHERE a.id IS NULL OR b.id IS NULL
 """,
 )
+def in_parts(x, source, warehouse, keys, buckets, day=None, columns=None):
+    """Both sides stored in parts with digests, as a nightly job leaves them."""
+    paths = [fresh_folder(x.spark, side) for side in ("source-parts", "warehouse-parts")]
+    for df, path in zip((source, warehouse), paths):
+        digests.store_parts(df, path, keys, buckets, day, columns)
+    return paths
+
+
+def missing_by_digest(x):
+    source, warehouse = (
+        df.select("*", F.trunc("created_at", "year").alias("year"))
+        for df in (
+            renumbered(x.order_history, 1000, "created_at"),
+            renumbered(x.clean_orders, 2000, "created_at"),
+        )
+    )
+    paths = in_parts(x, source, warehouse, ["id"], 4, F.col("year"), ["id"])
+    return digests.missing_stored(*paths, ["id"], source)
+
+
+def repriced(x):
+    """Orders, and the same orders where the dearest came under another price and the cheapest under another id."""
+    price = F.col("total_price")
+    source = x.clean_orders.select("id", "total_price")
+    warehouse = source.select(
+        F.when(price > 1500, F.col("id")).otherwise(-F.col("id") - 1).alias("id"),
+        F.when(price < 300000, price).otherwise(price - 1).cast(source.schema["total_price"].dataType).alias("total_price"),
+    )
+    return digests.changed_stored(*in_parts(x, source, warehouse, ["id"], 16), ["id"], source)
+
+
+def count_changes(x):
+    source, warehouse = (df.select("campaign_id") for df in (x.raw_ads, x.ads))
+    paths = in_parts(x, source, warehouse, ["campaign_id"], 16)
+    return digests.count_changes(*paths, ["campaign_id"], source)
+
+
+query(
+    "missing_records_stored",
+    missing_by_digest,
+    """
+SELECT coalesce(a.id, b.id) AS id, if(b.id IS NULL, 'missing in warehouse', 'missing in source') AS side
+FROM (SELECT if(total_price > 1000, id, -id - 1) AS id FROM order_history) a FULL JOIN
+  (SELECT if(total_price > 2000, id, -id - 1) AS id FROM clean_orders) b ON a.id = b.id WHERE a.id IS NULL OR b.id IS NULL
+""",
+)
+query(
+    "changed_records_stored",
+    repriced,
+    """
+SELECT id, 'changed' AS status FROM clean_orders WHERE total_price >= 300000
+UNION ALL SELECT id, 'missing in warehouse' FROM clean_orders WHERE ifnull(total_price <= 1500, true)
+UNION ALL SELECT -id - 1, 'missing in source' FROM clean_orders WHERE ifnull(total_price <= 1500, true)
+""",
+)
+query(
+    "record_count_changes",
+    count_changes,
+    """
+SELECT campaign_id, 'rows' AS metric, s::DOUBLE AS source_value, w::DOUBLE AS warehouse_value, (s - w)::DOUBLE / s * 100
+  AS diff_pct, CASE WHEN s - w > s * 0.05 THEN 'CRITICAL' WHEN s - w > s * 0.01 THEN 'WARNING' ELSE 'PASS' END AS status
+FROM (SELECT campaign_id, count(*) AS s FROM raw_ads GROUP BY 1) JOIN
+  (SELECT campaign_id, count(*) AS w FROM ads GROUP BY 1) USING (campaign_id) WHERE s <> w
+""",
+)
 query(
     "expected_members",
     lambda x: reconcile.expected_members(
@@ -785,6 +850,23 @@ SELECT n.table_name, last_extracted_at, ifnull(b.row_count, 0) AS rows_before,
 FROM tables_now n LEFT JOIN tables_baseline b USING (table_name) WHERE n.row_count = 0
 """,
 )
+
+
+def stored_pair(x):
+    """The given orders, and a table of those without a key, of which there are none."""
+    path = fresh_folder(x.spark, "refused")
+    x.table("orders").filter(F.col("o_orderkey").isNull()).write.parquet(path)
+    return {"orders": f"{x.sf_dir}/orders.parquet", "refused": path}
+
+
+query(
+    "empty_tables_from_footers",
+    lambda x: monitor.empty_tables(
+        tables.footer_counts(x.spark, stored_pair(x)).withColumn("last_extracted_at", F.lit(None).cast("timestamp")),
+        tables.footer_session(x.spark).createDataFrame([("orders", 5), ("refused", 5)], "table_name string, row_count long"),
+    ).drop("last_extracted_at"),
+    "SELECT 'refused' AS table_name, 5::BIGINT AS rows_before, 'NEWLY EMPTY' AS status FROM (SELECT count(*) FROM orders)",
+)
 query(
     "stale_tables",
     lambda x: monitor.stale_tables(x.tables_now, EVENTS_AS_OF),

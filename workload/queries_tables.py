@@ -145,6 +145,19 @@ query(
         f"SELECT '{t}' AS table_name, count(*) AS row_count, true AS has_files, true AS has_size FROM {t}" for t in GIVEN
     ),
 )
+query(
+    "table_counts_from_footers",
+    lambda x: tables.footer_counts(x.spark, {t: f"{x.sf_dir}/{t}.parquet" for t in GIVEN}),
+    " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in GIVEN),
+)
+query(
+    "column_ranges_from_footers",
+    lambda x: tables.footer_ranges(x.spark, f"{x.sf_dir}/lineitem.parquet", ["l_orderkey", "l_partkey"]),
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, min({c})::VARCHAR AS min_value, max({c})::VARCHAR AS max_value FROM lineitem"
+        for c in ("l_orderkey", "l_partkey")
+    ),
+)
 SPARK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date"}
 query(
     "describe_schema",

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from martlet.functions import query_param
 from martlet.operators import attribution, changes, conform, unify
+from martlet.plans import marketing as reports
+from martlet.plans import refresh
 from workload.inputs import AS_OF
 from workload.registry import fresh_folder, query
 
@@ -113,6 +115,21 @@ query(
 )
 MARKETING_MONEY = "revenue::DOUBLE AS revenue, net_revenue::DOUBLE AS net_revenue, ad_spend::DOUBLE AS ad_spend"
 query("marketing_unified", lambda x: x.marketing, f"SELECT * REPLACE ({MARKETING_MONEY}) FROM marketing")
+
+
+def renewed_marketing(x):
+    """The kept table as of a run that saw other prices for orders without a source, brought up to date by the days of these orders."""
+    (shop,) = x.land("shop")
+    ads = {"facebook": (x.facebook, "fb_"), "tiktok": (x.tiktok, "tt_")}
+    path = fresh_folder(x.spark, "marketing-days")
+    late = F.col("first_utm_source").isNull() & (F.col("order_date") >= F.lit("1998-01-01").cast("date"))
+    before = shop.withColumn("order_value", F.when(~F.coalesce(late, F.lit(False)), F.col("order_value")))
+    refresh.refresh_marketing(x.spark, path, before, ads)
+    return refresh.refresh_marketing(x.spark, path, shop, ads, refresh.changed_days(shop.filter(late)))
+
+
+query("marketing_renewed_by_day", renewed_marketing, f"SELECT * REPLACE ({MARKETING_MONEY}) FROM marketing")
+query("monthly_from_renewed_days", lambda x: reports.monthly_performance(renewed_marketing(x)), "SELECT * FROM monthly")
 query(
     "marketing_unified_once",
     lambda x: unify.marketing_unified(unify.shopify_daily(x.shop, by_source=False), x.ad_spend).select(
