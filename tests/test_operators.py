@@ -33,6 +33,50 @@ def test_dedup_sends_one_row_per_key_and_task(spark):
     assert text.count("WindowGroupLimit") == 2
 
 
+AD_ROW = "ad_id string, date_start date, account_id string, extract_no int, tie1 long, tie2 long, tie3 long, tie4 decimal(18,2), spend string"
+
+
+def ad_rows(spark, n, keys):
+    """Ads with NULLs in keys, versions and ties, the whole range of ids, and every third row twice."""
+    rnd, out = random.Random(5), []
+    for i in range(n):
+        k = rnd.randrange(keys)
+        key = (rnd.choice([None, f"ad{k}"]) if k % 7 == 0 else f"ad{k}", dt.date(2001, 1, 1 + k % 9) if k % 5 else None, str(k % 3))
+        ties = (rnd.choice([None, -(2**63), 2**63 - 1, rnd.randrange(9)]), rnd.choice([None, 1, 2]), rnd.choice([None, 1]), None)
+        out += [(*key, rnd.choice([None, -(2**31), 2**31 - 1, 1, 2]), *ties, f"{k} {ties}")] * (2 if i % 3 == 0 else 1)
+    return spark.createDataFrame(out, AD_ROW)
+
+
+@pytest.mark.parametrize("buckets", [1, 8, 1 << 20])
+def test_ads_lose_no_latest_row_before_the_sort(spark, monkeypatch, buckets):
+    monkeypatch.setattr(dedup, "BUCKETS", buckets)
+    raw = ad_rows(spark, 600, 60)
+    assert rows(dedup.ads_base(raw)) == rows(dedup.dedup_latest(raw, dedup.AD_KEY, dedup.VERSION, dedup.TIES))
+
+
+def test_old_versions_of_ads_are_not_sorted(spark):
+    n, day = F.col("id"), F.lit("2001-01-01").cast("timestamp_ntz")
+    raw = spark.range(20000).select(
+        (n % 10).alias("ad_id"), day.alias("stat_time_day"), F.lit("{}").alias("metrics"), (n % 7).cast("int").alias("extract_no"),
+        n.alias("tie1"), *[F.lit(None).cast("long").alias(f"tie{i}") for i in (2, 3, 4)],
+    )
+    latest = dedup.report_latest(raw, "ad")
+    latest.collect()
+    text = plan(latest)
+    assert text.index("WindowGroupLimit") < text.index("BroadcastHashJoin")  # the plan is printed from its end
+    assert dedup.only_late(raw, ["ad_id"], [*dedup.VERSION, *dedup.TIES]).count() == 10
+
+
+def test_order_code_is_in_the_order_of_its_columns(spark):
+    df = ad_rows(spark, 300, 5)
+    code = dedup.order_code(df, ["extract_no", "tie1", "tie2"])
+    found = df.select("extract_no", "tie1", code.alias("code")).collect()
+    key = lambda r: tuple((v is not None, v or 0) for v in (r.extract_no, r.tie1))
+    assert sorted(map(key, found)) == [key(r) for r in sorted(found, key=lambda r: r.code)]
+    assert len({r.code for r in found}) == len(set(map(key, found)))
+    assert dedup.order_code(df, ["spend"]) is None
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "k int, v int")
     assert dedup.dedup_latest(df, ["k"], ["v"]).count() == 0
