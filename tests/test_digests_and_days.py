@@ -1,6 +1,7 @@
 """Tables compared by digests, counts from footers, and a marketing table renewed by day."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from martlet.operators import changes, digests, reconcile, unify
 from martlet.plans import marketing, refresh
 from martlet.sources import tables
+from workload.inputs import Inputs
 
 KIND = "id long, day date, v string"
 DAYS = [dt.date(2024, m, 3) for m in range(1, 5)]
@@ -162,3 +164,15 @@ def test_changed_days(spark, tmp_path):
     assert set(refresh.changed_days(shop, {"facebook": platforms["facebook"][0]})) == {*DAYS, BESIDE, None}
     assert set(refresh.changed_days(shop)) == set(DAYS[:3])
     assert refresh.changed_days() == []
+
+
+def test_landed_orders_carry_only_the_columns_read(spark):
+    x = Inputs(spark, "no such folder")
+    kind = "order_id long, order_date date, attribution_channel string, first_utm_source string, order_value decimal(18,2), "
+    kind += "order_net_value decimal(18,2), customer_id long, product_titles string"
+    day = dt.date(2001, 1, 2)
+    every = [(1, day, "web", None, Decimal(3), Decimal(2), 7, "a, b"), (2, day, "web", None, None, None, None, None), (3, None, None, "x", Decimal(1), None, 7, "a")]
+    full = x.__dict__["shop"] = spark.createDataFrame(every * 2, kind)
+    (shop,) = x.land("shop", shop_columns=["order_id", *unify.DAILY_COLUMNS, "order_id"])
+    assert shop.columns == ["order_id", *unify.DAILY_COLUMNS] and x.shop is shop and shop.count() == 6
+    assert sorted(map(str, unify.shopify_daily(shop).collect())) == sorted(map(str, unify.shopify_daily(full).collect()))

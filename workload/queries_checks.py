@@ -214,7 +214,7 @@ FROM (SELECT count(*) AS n FROM {t} GROUP BY {k} HAVING count(*) > 1)
 """
 query(
     "unified_duplicates",
-    lambda x: quality.unified_duplicates(*x.land("shop", "marketing")),
+    lambda x: quality.unified_duplicates(*x.land("shop", "marketing", shop_columns=["order_id", *unify.DAILY_COLUMNS])),
     REPEATED.format(name="shopify_unified", t="shop", k="order_id")
     + " UNION ALL "
     + REPEATED.format(name="marketing_unified", t="marketing", k="date, channel"),
@@ -330,7 +330,7 @@ SELECT 'Volume' AS check_name, 'ads' AS table_name, date_start AS date, count(*)
 )
 query(
     "null_zero_anomalies",
-    lambda x: quality.null_zero_anomalies(*x.land("shop", "marketing")),
+    lambda x: quality.null_zero_anomalies(*x.land("shop", "marketing", shop_columns=unify.DAILY_COLUMNS)),
     f"""
 SELECT * FROM (
   SELECT 'shopify_unified' AS table_name, 'order_value' AS field, count(*) AS total_rows,
@@ -573,7 +573,7 @@ def workflow_kpis(x):
     nulls = quality.check_null_rates(x.raw_orders, ["email"], "o").select(
         F.lit("null_pct").alias("kpi"), F.col("max_null_rate").alias("value")
     )
-    odd = quality.null_zero_anomalies(*x.land("shop", "marketing")).agg(
+    odd = quality.null_zero_anomalies(*x.land("shop", "marketing", shop_columns=unify.DAILY_COLUMNS)).agg(
         F.lit("anomalies").alias("kpi"), F.count("*").cast("double").alias("value")
     )
     return checks.union([fresh, dups, nulls, odd])

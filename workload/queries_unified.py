@@ -119,7 +119,7 @@ query("marketing_unified", lambda x: x.marketing, f"SELECT * REPLACE ({MARKETING
 
 def renewed_marketing(x):
     """The kept table as of a run that saw other prices for orders without a source, brought up to date by the days of these orders."""
-    (shop,) = x.land("shop")
+    (shop,) = x.land("shop", shop_columns=unify.DAILY_COLUMNS)
     ads = {"facebook": (x.facebook, "fb_"), "tiktok": (x.tiktok, "tt_")}
     path = fresh_folder(x.spark, "marketing-days")
     late = F.col("first_utm_source").isNull() & (F.col("order_date") >= F.lit("1998-01-01").cast("date"))
@@ -206,7 +206,7 @@ def tracked_only(x):
 
 query(
     "unattributed_revenue",
-    lambda x: unify.unattributed_revenue(*x.land("shop"), tracked_only(x), AS_OF, days=60),
+    lambda x: unify.unattributed_revenue(*x.land("shop", shop_columns=unify.DAILY_COLUMNS), tracked_only(x), AS_OF, days=60),
     """
 SELECT order_date AS date, sum(order_value)::DOUBLE AS total_shopify_revenue,
   0::DOUBLE AS total_marketing_revenue,
