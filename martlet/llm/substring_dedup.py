@@ -45,6 +45,17 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(pa.array(some)).dictionary_encode(), counts
 
 
+def leftmost_least(values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The least of every `size` values in a row and the leftmost place it has, from windows that double in length."""
+    least, place, length = values, np.arange(len(values)), 1
+    while length < size:
+        step = min(length, size - length)
+        front, back = least[:-step], least[step:]
+        place = np.where(back < front, place[step:], place[:-step])
+        least, length = np.minimum(front, back), length + step
+    return least, place
+
+
 def minimisers(coded: pa.Array, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Stretches of windows with one minimiser: (hash, text number, first word in the text, number of windows)."""
     names = coded.dictionary.to_pylist()
@@ -60,12 +71,7 @@ def minimisers(coded: pa.Array, counts: np.ndarray, width: int) -> tuple[np.ndar
     grams ^= grams >> np.uint64(29)
     grams *= np.uint64(0xBF58476D1CE4E5B9)
     grams ^= grams >> np.uint64(32)
-    least, place = grams[:n].copy(), np.arange(n)
-    for j in range(1, width - GRAM + 1):  # leftmost least hash in each window
-        other = grams[j : j + n]
-        better = other < least
-        least[better] = other[better]
-        place[better] = np.flatnonzero(better) + j
+    least, place = leftmost_least(grams, width - GRAM + 1)
     owner = np.repeat(np.arange(len(counts)), counts)
     valid = owner[:n] == owner[width - 1 :]
     starts = np.flatnonzero(valid)

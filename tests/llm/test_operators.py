@@ -431,6 +431,16 @@ def test_wu_manber_finds_every_occurrence():
 
 
 # -------------------------------------------------------------------- substring dedup
+@pytest.mark.parametrize("size", [1, 2, 5, 8, 9, 13])
+def test_leftmost_least_of_windows(size):
+    rng = random.Random(size)
+    for n in (size, size + 1, 60):
+        values = [rng.randrange(4) for _ in range(n)]
+        least, place = substring_dedup.leftmost_least(np.array(values, dtype=np.uint64), size)
+        at = [min(range(i, i + size), key=lambda k: (values[k], k)) for i in range(n - size + 1)]
+        assert place.tolist() == at and least.tolist() == [values[k] for k in at]
+
+
 @pytest.mark.parametrize("hot", [10_000, 2])
 def test_substring_dedup(spark, rows, hot):
     got = substring_dedup.dedup_substrings(table(spark, rows).repartition(3), hot=hot).collect()
