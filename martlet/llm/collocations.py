@@ -31,6 +31,8 @@ COUNTERS = 1 << 20
 SLICE_BYTES = 4 << 20
 # Counts that a task holds to add up before it gives them out.
 HELD = 1 << 20
+# Bytes of a phrase's hash that its counts go out with. Phrases that share them are counted as one, so more may survive, never fewer.
+SENT = 5
 
 ENDS = np.isin(np.arange(256), np.frombuffer(PIECE_ENDS, dtype=np.uint8))
 IN_WORD = ~(ENDS | np.isin(np.arange(256), np.frombuffer(BLANKS, dtype=np.uint8)))
@@ -167,21 +169,40 @@ class MisraGries:
         return self.hashes[self.counts + self.short >= threshold]
 
 
+def _packed(hashes: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+    """The lowest `SENT` bytes of each hash, and the counts (at least one) in as few bytes as the highest needs."""
+    low = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SENT]
+    return low.tobytes(), counts.astype(np.min_scalar_type(int(counts.max()))).tobytes()
+
+
+def _unpacked(hashes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    low = np.frombuffer(hashes, dtype=np.uint8).reshape(-1, SENT)
+    wide = np.zeros((len(low), 8), dtype=np.uint8)
+    wide[:, :SENT] = low
+    return wide.view("<u8").ravel(), np.frombuffer(counts, dtype=f"<u{len(counts) // len(low)}").astype(np.int64)
+
+
+def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Hash partition of a phrase."""
+    return ((hashes >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+
+
 def _survivors(texts: DataFrame, threshold: int, shortest: int, longest: int, filters: list[Filter], parts: int) -> DataFrame:
-    """Hashes (h) of the phrases of some lengths that may reach the threshold; none that does is missing."""
+    """Hashes (h, their lowest `SENT` bytes) of the phrases of some lengths that may reach the threshold; none that does is missing."""
 
     def rows(summed: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
         h, c = summed
-        part = ((h >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+        part = _part(h, parts)
         order = np.argsort(part, kind="stable")
         h, c, part = h[order], c[order], part[order]
         cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.zeros(0, dtype=np.int64)
         ends = np.r_[cuts[1:], len(part)]
+        packed = [_packed(h[a:b], c[a:b]) for a, b in zip(cuts, ends)]
         return pa.RecordBatch.from_pydict({
             "part": pa.array(part[cuts], pa.int64()),
             "mass": pa.array([int(c[a:b].sum()) for a, b in zip(cuts, ends)], pa.int64()),
-            "hashes": pa.array([h[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-            "counts": pa.array([c[a:b].astype("<i8").tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+            "hashes": pa.array([x for x, _ in packed], pa.binary()),
+            "counts": pa.array([x for _, x in packed], pa.binary()),
         })
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,30 +223,25 @@ def _survivors(texts: DataFrame, threshold: int, shortest: int, longest: int, fi
         if held:
             yield rows(_added_up(hashes, counts))
 
-    counted = land(texts.mapInArrow(count, "part long, mass long, hashes binary, counts binary"), "phrase-counts")
-    # A row with the mass of the whole partition goes first, as it says how many counters are needed.
-    masses = counted.groupBy("part").agg(F.sum("mass").alias("mass"))
-    dealt = (
-        masses.select("part", "mass", F.lit(True).alias("head"), F.lit(None).cast("binary").alias("hashes"), F.lit(None).cast("binary").alias("counts"))
-        .unionByName(counted.select("part", "mass", F.lit(False).alias("head"), "hashes", "counts"))
-        .repartition(parts, "part")
-        .sortWithinPartitions("part", F.col("head").desc())
-    )
+    counted = texts.mapInArrow(count, "part long, mass long, hashes binary, counts binary")
+    # Each row gets the mass of its whole partition, as it says how many counters are needed.
+    whole = F.sum("mass").over(Window.partitionBy("part"))
+    dealt = counted.repartition(parts, "part").select("part", whole.alias("mass"), "hashes", "counts")
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        summary = None
+        """The rows of a partition follow each other."""
+        summary, at = None, None
         for batch in batches:
-            for part, mass, head, hashes, counts in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if head:
+            for part, mass, hashes, counts in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if part != at:
                     if summary is not None:
                         yield _as_batch(summary.reaching(threshold))
-                    summary = MisraGries(mass // threshold + 1)
-                else:
-                    summary.add(np.frombuffer(hashes, dtype="<u8"), np.frombuffer(counts, dtype="<i8"))
+                    summary, at = MisraGries(mass // threshold + 1), part
+                summary.add(*_unpacked(hashes, counts))
         if summary is not None:
             yield _as_batch(summary.reaching(threshold))
 
-    return land(dealt.mapInArrow(fold, "h long"), "phrase-survivors")
+    return dealt.mapInArrow(fold, "h long")
 
 
 def _as_batch(hashes: np.ndarray) -> pa.RecordBatch:
@@ -246,39 +262,88 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     )
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # A word takes two bytes at least, so this many partitions hold all occurrences of one length with the counters laid out.
-    parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // 2 // (threshold * COUNTERS) + 1)
+    tasks, least = int(spark.conf.get("spark.sql.shuffle.partitions")), size // 2 // (threshold * COUNTERS) + 1
+    parts = max(4 * tasks, least)
     filters: list[Filter] = []
     for shortest, upto in ((1, 1), (2, 2), (3, longest)):
         if shortest <= longest:
             filters.append(Filter(_survivors(texts, threshold, shortest, min(upto, longest), filters, parts), "h"))
 
+    parts = max(tasks, least)
+
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n_held = [], 0
         for some in _phrases(batches):
             for found in _of_lengths(some, longest, [*filters, *filters[-1:] * longest]):
                 chosen = np.flatnonzero(filters[min(found.length, len(filters)) - 1].has(found.hash))
                 langs, phrases = found.texts(chosen)
-                lengths = pa.array(np.full(len(chosen), found.length), pa.int32())
-                columns = [pa.array(langs, pa.string()), lengths, pa.array(phrases, pa.string()), pa.array(found.count[chosen], pa.int64())]
-                held.append(pa.Table.from_arrays(columns, names=["lang", "n_words", "phrase", "f"]))
+                columns = [pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(found.hash[chosen]), pa.array(found.count[chosen], pa.int64())]
+                held.append(pa.Table.from_arrays(columns, names=["lang", "phrase", "h", "f"]))
                 n_held += len(chosen)
             if n_held > HELD // 2:
                 summed = _added_up_rows(held)
                 if summed.num_rows > HELD // 4:
-                    yield from summed.to_batches(HELD // 16)
+                    yield _packed_rows(summed, parts)
                     summed = summed.slice(0, 0)
                 held, n_held = [summed], summed.num_rows
-        if held:
-            yield from _added_up_rows(held).to_batches(HELD // 16)
+        if n_held:
+            yield _packed_rows(_added_up_rows(held), parts)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """All counts of a phrase meet here. Where the distinct phrases are more than a task holds, some go on in several counts."""
+        held, n_held = [], 0
+        for some in slices(batches, "phrases", SLICE_BYTES):
+            held.append(_unpacked_rows(some))
+            n_held += held[-1].num_rows
+            if n_held > HELD:
+                summed = _added_up_rows(held)
+                if summed.num_rows > HELD // 2:
+                    yield from _as_counts(summed)
+                    summed = summed.slice(0, 0)
+                held, n_held = [summed], summed.num_rows
+        if n_held:
+            yield from _as_counts(_added_up_rows(held))
 
-    counted = texts.mapInArrow(exact, "lang string, n_words int, phrase string, f long")
+    dealt = texts.mapInArrow(exact, "part long, lang string, phrases string, counts binary").repartition(parts, "part")
+    counted = dealt.mapInArrow(add_up, "lang string, n_words int, phrase string, f long")
     return counted.groupBy("lang", "n_words", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= threshold)
 
 
 def _added_up_rows(tables: list[pa.Table]) -> pa.Table:
-    keys = ["lang", "n_words", "phrase"]
-    summed = pa.concat_tables(tables).group_by(keys, use_threads=False).aggregate([("f", "sum")])
-    return summed.select([*keys, "f_sum"]).rename_columns([*keys, "f"])
+    """Distinct phrases (lang, phrase) with the sums of their counts f, and the hash h where the tables have it."""
+    keys, others = ["lang", "phrase"], tables[0].column_names[2:]
+    summed = pa.concat_tables(tables).group_by(keys, use_threads=False).aggregate([(c, "sum" if c == "f" else "min") for c in others])
+    return summed.select([*keys, *(f"{c}_{'sum' if c == 'f' else 'min'}" for c in others)]).rename_columns([*keys, *others])
+
+
+def _packed_rows(summed: pa.Table, parts: int) -> pa.RecordBatch:
+    """A row per hash partition and language, with all its phrases, a line each, and their counts. No word holds a line end."""
+    part = _part(summed["h"].to_numpy(), parts)
+    lang = pc.dictionary_encode(summed["lang"].combine_chunks())
+    of = lang.indices.to_numpy()
+    order = np.lexsort((of, part))
+    part, of, f = part[order], of[order], summed["f"].to_numpy()[order].astype("<i8")
+    phrases = summed["phrase"].take(pa.array(order)).to_pylist()
+    cuts = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (of[1:] != of[:-1])])
+    ends = np.r_[cuts[1:], len(part)]
+    return pa.RecordBatch.from_pydict({
+        "part": pa.array(part[cuts], pa.int64()),
+        "lang": lang.dictionary.take(pa.array(of[cuts])),
+        "phrases": pa.array(["\n".join(phrases[a:b]) for a, b in zip(cuts, ends)], pa.string()),
+        "counts": pa.array([f[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+    })
+
+
+def _unpacked_rows(packed: pa.RecordBatch) -> pa.Table:
+    lists = pc.split_pattern(packed.column("phrases"), "\n")
+    langs = packed.column("lang").take(pc.list_parent_indices(lists))
+    counts = np.frombuffer(b"".join(packed.column("counts").to_pylist()), dtype="<i8")
+    return pa.Table.from_arrays([langs, pc.list_flatten(lists), pa.array(counts, pa.int64())], names=["lang", "phrase", "f"])
+
+
+def _as_counts(summed: pa.Table) -> list[pa.RecordBatch]:
+    n_words = pc.add(pc.count_substring(summed["phrase"], " "), 1).cast(pa.int32())
+    return summed.add_column(1, "n_words", n_words).to_batches(HELD // 16)
 
 
 def word_totals(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:

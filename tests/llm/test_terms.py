@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 from math import log2
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -92,6 +93,31 @@ def test_collocations_when_the_filter_is_full(spark, texts, monkeypatch):
     assert rows_of(got) == brute_collocations(texts, 12, 50)
 
 
+def test_counts_go_out_once_and_packed(spark, texts, monkeypatch):
+    """Counts are not stored beside their shuffle, and the second pass gives a row per hash partition and language, not per phrase."""
+    landed = []
+    monkeypatch.setattr(collocations, "land", lambda df, label: landed.append(label) or df)
+    frequent = collocations.frequent_phrases(table(spark, texts), threshold=12)
+    assert len(frequent.collect()) > 20 and landed == []
+    words = [(lang, " ".join(p), 7919 * i + (i << 33), 1 + i % 300) for i, (lang, *p) in enumerate((x, y, z) for x in ("en", "und") for y in "abcdé" for z in "tuvwx")]
+    columns = dict(zip(("lang", "phrase", "h", "f"), map(list, zip(*words))))
+    given = pa.table(columns).set_column(2, "h", pa.array(columns["h"], pa.uint64()))
+    packed = collocations._packed_rows(collocations._added_up_rows([given, given]), 3)
+    assert packed.num_rows <= 3 * 2
+    back = collocations._unpacked_rows(packed)
+    assert sorted(zip(*back.to_pydict().values())) == sorted((lang, phrase, 2 * f) for lang, phrase, _, f in words)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, (1 << 64) - 1), st.integers(1, 1 << 40)), min_size=1, max_size=50))
+def test_packed_counts(rows):
+    hashes, counts = np.array([h for h, _ in rows], dtype=np.uint64), np.array([c for _, c in rows], dtype=np.int64)
+    packed = collocations._packed(hashes, counts)
+    assert len(packed[0]) == 5 * len(rows)
+    low, same = collocations._unpacked(*packed)
+    assert low.tolist() == [h % (1 << 40) for h, _ in rows] and same.tolist() == [c for _, c in rows]
+
+
 def test_collocations_of_nothing(spark):
     assert collocations.collocations(table(spark, [])).collect() == []
     assert collocations.collocations(table(spark, [(1, "en", "rare words only")])).collect() == []
