@@ -167,13 +167,14 @@ def near_words(words: DataFrame) -> DataFrame:
     """(word, near) both ways for all of `words` (distinct, two characters or more) that are one edit apart.
 
     A level is landed before the next: a lost executor costs part of one level. There are as many levels as nodes that
-    branch or end a word follow each other below a word's middle.
+    branch or end a word follow each other below a word's middle. The arrivals of all levels are looked up together in the
+    end, from the landed levels, so the ends of words are shuffled once.
     """
     starts, edges, ends = trie(words)
     states = land(starts.withColumn("edits", F.lit(0)), "trie-states")
     found = []
     while states.limit(1).count():
-        found.append(land(_arrived(states, ends), "trie-found"))
+        found.append(_arrived(states, ends))
         states = land(_next_level(states, edges), "trie-states")
     pairs = found[0] if found else states.join(ends, "node").select("way", "word", "other")
     for more in found[1:]:

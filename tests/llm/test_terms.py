@@ -206,6 +206,16 @@ def test_near_words_of_short_words(spark):
     assert sorted(map(tuple, pairs)) == sorted((a, b) for a in words for b in words if one_edit(a, b))
 
 
+def test_arrivals_are_not_stored_level_by_level(spark, monkeypatch):
+    """Each level is stored once, as its states; what arrives in it is read from there."""
+    labels, land = [], spelling.land
+    monkeypatch.setattr(spelling, "land", lambda df, label: labels.append(label) or land(df, label))
+    words = ["b" * 9, "b" * 10, "cab", "caab", "É" * 5]
+    pairs = spelling.near_words(spark.createDataFrame([(w,) for w in words], "word string").coalesce(1)).collect()
+    assert len(pairs) == 4 and labels.count("trie-states") > 2
+    assert set(labels) == {"trie-nodes", "trie-kept", "trie-edges", "trie-ends", "trie-states", "near-words"}
+
+
 def test_near_words_when_nodes_share_a_hash(spark, monkeypatch):
     """Nodes that cannot be told apart give walks too many, which no pair survives."""
     class Coarse:
