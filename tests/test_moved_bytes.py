@@ -80,3 +80,72 @@ def test_references_read_one_shuffle_of_the_orders(planned):
     customers = planned.range(7).withColumns({f"{c}_hash": F.sha2(F.lit(c), 256) for c in names})
     applied = pii.apply_references(orders, customers, pii.master_reference(customers, orders))
     assert applied.count() == 100 and len(exchanges(applied, "id")) == 1
+
+
+def moves_of(df, column):
+    """Shuffles whose rows carry `column`."""
+
+    def nodes(plan):
+        yield plan
+        children = plan.children()
+        for i in range(children.size()):
+            yield from nodes(children.apply(i))
+
+    found = nodes(df._jdf.queryExecution().executedPlan())
+    return sum(n.nodeName() == "Exchange" and f"{column}#" in n.output().mkString(",") for n in found)
+
+
+def shop(spark):
+    """Orders: one twice, one without email, two without any id, one whose hash nobody has; two customers share a hash."""
+    a, b = sha("a"), sha("b")
+    keys = [(1, 1, a), (1, 1, a), (1, 1, b), (2, 2, None), (None, None, a), (None, None, b), (3, 3, "odd"), (4, None, sha("c"))]
+    n, money = "CAST(NULL AS TIMESTAMP)", "CAST(10 AS DECIMAL(18,2))"
+    orders = spark.createDataFrame(keys, "order_id long, order_id_numeric long, order_email_hash string").selectExpr(
+        "*", "concat('tag', order_email_hash) AS order_tags", "'web' AS source_name", f"{n} AS order_cancelled_at", f"{money} AS order_value", f"{money} AS order_discounts"
+    ).repartition(3)
+    people = [(7, a), (8, a), (9, "odd"), (10, None), (11, sha("d"))]
+    customers = spark.createDataFrame(people, "customer_id long, customer_email_hash string").selectExpr(
+        "*", *[f"'{c}' AS {c}" for c in ("customer_state", "customer_first_name", "customer_tags")], f"{n} AS customer_created_at",
+        "1L AS customer_order_count_shopify", f"{money} AS customer_lifetime_value_shopify", "true AS customer_email_verified",
+        "true AS customer_accepts_marketing", "now() AS customer_last_sync_at",
+    )
+    lines = spark.createDataFrame([(1, None, "t"), (1, "s", None), (1, "s", "t"), (3, None, None)], "o long, sku string, title string")
+    items = lines.selectExpr("'gid/' || o AS order_id", "'gid/' || o AS admin_graphql_api_order_id", "sku", "title", "2L AS quantity",
+                             f"{money} AS original_total")
+    paid = spark.createDataFrame([(1, "x", None, "k"), (1, "x", "b", "k"), (1, None, "a", "k")], "order_id long, gateway string, status string, kind string")
+    paid = paid.selectExpr("*", "'1.50' AS amount", "now() AS created_at")
+    back = spark.createDataFrame([(3, '[{"amount":"4.00"}]')], "order_id long, transactions string").selectExpr("*", "now() AS created_at")
+    return orders, customers, items, paid, back
+
+
+def test_orders_meet_customers_by_narrow_rows(planned):
+    orders, customers, items, paid, back = shop(planned)
+    utm = planned.createDataFrame([(1, "u"), (3, None)], "order_id_numeric long, first_utm_source string").withColumn("utm_extracted_at", F.lit(1))
+    out = unify.shopify_unified(orders, customers, unify.items_agg(items), unify.transactions_agg(paid), utm, unify.refunds_agg(back))
+    a, b = sha("a"), sha("b")
+    given = out.select("order_id", "order_email_hash", "customer_id", "items_count", "skus", "product_titles", "payment_gateways",
+                       "transaction_statuses", "attribution_channel")
+    first = (3, "s", "t", "x", "a, b", "u")
+    none = (0, None, None, None, None, "web")
+    expected = [(1, a, 7, *first), (1, a, 8, *first)] * 2 + [(1, b, None, *first), (2, None, None, *none), (None, a, 7, *none),
+                (None, a, 8, *none), (None, b, None, *none), (3, "odd", 9, 1, None, None, None, None, "web"), (4, sha("c"), None, *none)]
+    assert sorted(map(str, map(tuple, given.collect()))) == sorted(map(str, expected))
+    assert moves_of(out, "order_tags") == 2  # once above here to deal the rows, once to the key of the order
+
+
+def test_consistent_orders_meet_references_by_narrow_rows(planned):
+    orders, customers, items, paid, back = shop(planned)
+    utm = planned.createDataFrame([(1, "u")], "order_id_numeric long, utm_source string")
+    refs = planned.createDataFrame([(sha("a"), sha(sha("a")))], "email_hash_original string, email_hash_consistent string")
+    out = unify.shopify_unified_consistent(
+        orders, customers, refs, unify.items_agg_all(items), unify.transactions_agg(paid, kinds=True), utm, unify.refunds_agg(back)
+    )
+    given = out.select("order_id", "order_email_hash", "customer_email_hash", "customer_id", "product_titles", "transaction_types", "net_revenue")
+    a, b = sha(sha("a")), sha("b")
+    first, none = ("t, t", "k", "10.00"), (None, None, "10.00")
+    expected = [(1, a, a, 7, *first), (1, a, a, 8, *first)] * 2 + [(1, b, None, None, *first), (2, None, None, None, *none),
+                (None, a, a, 7, *none), (None, a, a, 8, *none), (None, b, None, None, *none), (3, "odd", "odd", 9, None, None, "6.00"),
+                (4, sha("c"), None, None, *none)]
+    found = [(*tuple(r)[:-1], str(r.net_revenue)) for r in given.collect()]
+    assert sorted(map(str, found)) == sorted(map(str, expected))
+    assert moves_of(out, "order_tags") == 2
